@@ -1,11 +1,42 @@
-"""Small predictors that need no fit beyond counts."""
+"""Base models. Each fit returns pipeline stages that read one vector column and add ``p_<name>``."""
+
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import (
+    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
+)
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratascore.operators.neighbors import _nearest, knn_vote
+from stratascore.operators.split import assign_folds_by_hash
+from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage, _floats
+from stratascore.session import materialize
+
+FEATURES = "_x"
+UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
+LOCAL_POINTS = 200_000  # numbers a model may carry inside its own params
+
+
+@dataclass(frozen=True)
+class Learner:
+    """What to fit: ``kind`` is lr, rf, gbt, stump, rbf_svc, poly_svc or knn."""
+
+    name: str
+    kind: str
+    params: dict = field(default_factory=dict)
+    balanced: bool = True
+
 
 class ConstantModel:
     """Predictor of a one-class segment."""
@@ -20,3 +51,262 @@ class ConstantModel:
 def majority(votes: list[Column], at_least: int) -> Column:
     """1 if at least so many of the 0/1 votes are 1."""
     return (reduce(lambda a, b: a + b, votes) >= at_least).cast("int")
+
+
+class PositiveProbability(_Stage, Transformer):
+    """P(1) out of a probability vector, as a plain number."""
+
+    source = Param(Params._dummy(), "source", "probability vector", TypeConverters.toString)
+    target = Param(Params._dummy(), "target", "new column", TypeConverters.toString)
+
+    def __init__(self, source: str | None = None, target: str | None = None):
+        super().__init__(source=source, target=target)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.get("target"), vector_to_array(F.col(self.get("source")))[1])
+
+
+class PlattScale(_Stage, Transformer):
+    """P(1) from a margin by a fitted sigmoid (Platt 1999)."""
+
+    source = Param(Params._dummy(), "source", "raw prediction vector", TypeConverters.toString)
+    target = Param(Params._dummy(), "target", "new column", TypeConverters.toString)
+    slope = Param(Params._dummy(), "slope", "sigmoid slope", TypeConverters.toFloat)
+    offset = Param(Params._dummy(), "offset", "sigmoid offset", TypeConverters.toFloat)
+
+    def __init__(self, source=None, target=None, slope=None, offset=None):
+        super().__init__(source=source, target=target, slope=slope, offset=offset)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        margin = vector_to_array(F.col(self.get("source")))[1]
+        p = 1 / (1 + F.exp(-(margin * self.get("slope") + self.get("offset"))))
+        return df.withColumn(self.get("target"), p)
+
+
+class RandomFourier(_Stage, Transformer):
+    """Random Fourier features of the Gaussian kernel (Rahimi and Recht 2007), one matrix product per batch."""
+
+    source = Param(Params._dummy(), "source", "vector column", TypeConverters.toString)
+    target = Param(Params._dummy(), "target", "new vector column", TypeConverters.toString)
+    size = Param(Params._dummy(), "size", "number of new features", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    width = Param(Params._dummy(), "width", "length of the source vector", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
+
+    def __init__(self, source=None, target=None, size=None, gamma=None, width=None, seed=None):
+        super().__init__(source=source, target=target, size=size, gamma=gamma, width=width, seed=seed)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        size, gamma, width = self.get("size"), self.get("gamma"), self.get("width")
+        rng = np.random.RandomState(self.get("seed"))
+        weights = rng.normal(scale=np.sqrt(2 * gamma), size=(width, size))
+        phase = rng.uniform(0, 2 * np.pi, size)
+
+        @F.pandas_udf("array<double>")
+        def project(rows: pd.Series) -> pd.Series:
+            if not len(rows):
+                return pd.Series([], dtype=object)
+            x = np.array(rows.tolist(), dtype=float)
+            return pd.Series(list(np.sqrt(2 / size) * np.cos(x @ weights + phase)))
+
+        new = project(vector_to_array(F.col(self.get("source"))))
+        return df.withColumn(self.get("target"), array_to_vector(new))
+
+
+class NeighborVote(_Stage, Transformer):
+    """Share of positives among the k nearest training rows.
+
+    A small training set travels inside the stage; a large one stays a table in the shared folder
+    and is joined by cells.
+    """
+
+    source = Param(Params._dummy(), "source", "vector column", TypeConverters.toString)
+    target = Param(Params._dummy(), "target", "new column", TypeConverters.toString)
+    k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)
+    width = Param(Params._dummy(), "width", "length of the vector", TypeConverters.toInt)
+    points = _floats("points", "training rows, flat, in key order")
+    labels = _floats("labels", "training labels")
+    table = Param(Params._dummy(), "table", "path of a large training set", TypeConverters.toString)
+    key = Param(Params._dummy(), "key", "row key", TypeConverters.toString)
+
+    def __init__(self, source=None, target=None, k=None, width=None, points=None, labels=None, table=None, key=None):
+        super().__init__(source=source, target=target, k=k, width=width, points=points, labels=labels, table=table, key=key)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        source, target, k = self.get("source"), self.get("target"), self.get("k")
+        if self.isSet(self.table):
+            names = [f"_f{i}" for i in range(self.get("width"))]
+            parts = vector_to_array(F.col(source))
+            asked = df.select(self.get("key"), *[parts[i].alias(n) for i, n in enumerate(names)])
+            known = df.sparkSession.read.parquet(self.get("table"))
+            votes = knn_vote(asked, known, k, names, self.get("key"))
+            return df.join(votes.withColumnRenamed("probability", target), self.get("key"), "left")
+        matrix = np.array(self.get("points"), dtype=float).reshape(-1, self.get("width"))
+        labels = np.array(self.get("labels"), dtype=float)
+
+        @F.pandas_udf("double")
+        def vote(rows: pd.Series) -> pd.Series:
+            if not len(rows):
+                return pd.Series([], dtype=float)
+            x = np.array(rows.tolist(), dtype=float)
+            i, j, _ = _nearest(np.arange(len(x)), x, np.arange(len(matrix)), matrix, k, False)
+            hits = np.bincount(i, weights=labels[j], minlength=len(x))
+            return pd.Series(hits / np.maximum(np.bincount(i, minlength=len(x)), 1))
+
+        return df.withColumn(target, vote(vector_to_array(F.col(source))))
+
+
+def _cols(name: str) -> dict:
+    return {
+        "rawPredictionCol": f"_raw_{name}", "probabilityCol": f"_prob_{name}", "predictionCol": f"_pred_{name}",
+    }
+
+
+def _clean(name: str, *more: str) -> ColumnDropper:
+    return ColumnDropper([f"_raw_{name}", f"_prob_{name}", f"_pred_{name}", *more])
+
+
+def logistic(c: float, weight_sum: float, label: str = "label", features: str = FEATURES, weight: str | None = None,
+             max_iter: int = 300, **cols) -> LogisticRegression:
+    """L2 logistic regression with inverse strength ``c``; the intercept is free."""
+    lr = LogisticRegression(
+        featuresCol=features, labelCol=label, regParam=1.0 / (c * weight_sum), elasticNetParam=0.0,
+        standardization=False, maxIter=max_iter, tol=1e-6, **cols)
+    return lr.setWeightCol(weight) if weight else lr
+
+
+def _svc_stages(train: DataFrame, name: str, source: str, label: str, weight: str | None, c: float, n: int,
+                key: str, max_iter: int, folds: int) -> list:
+    """Linear SVC, then a sigmoid fitted on margins of rows the SVC did not see."""
+    def svc():
+        model = LinearSVC(
+            featuresCol=source, labelCol=label, regParam=1.0 / (c * n), maxIter=max_iter, tol=1e-3, standardization=False,
+            rawPredictionCol=f"_raw_{name}", predictionCol=f"_pred_{name}")
+        return model.setWeightCol(weight) if weight else model
+
+    split = assign_folds_by_hash(train, folds, key, seed=11, fold="_platt").persist()
+    try:
+        held = [svc().fit(split.filter(F.col("_platt") != i)).transform(split.filter(F.col("_platt") == i))
+                for i in range(folds)]
+        margins = reduce(DataFrame.unionByName, held)
+        margins = margins.select(label, vector_to_array(F.col(f"_raw_{name}"))[1].alias("_margin"))
+        assembled = VectorAssembler(inputCols=["_margin"], outputCol="_m").transform(margins)
+        platt = LogisticRegression(featuresCol="_m", labelCol=label, regParam=1e-6, standardization=False).fit(assembled)
+        model = svc().fit(split)
+    finally:
+        split.unpersist()
+    slope = max(float(platt.coefficients[0]), 0.0)  # a larger margin never means a lower probability
+    return [model, PlattScale(f"_raw_{name}", f"p_{name}", slope, float(platt.intercept))]
+
+
+def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str = "id", label: str = "label",
+                weight: str = "weight", seed: int = 42) -> list:
+    """Fit one base model on a table with a vector column; returns its stages."""
+    name, p = learner.name, dict(learner.params)
+    w = weight if learner.balanced else None
+    weighted = {"weightCol": weight} if learner.balanced else {}
+    if learner.kind == "lr":
+        model = logistic(p.get("c", 1.0), n, label, weight=w, **_cols(name)).fit(train)
+    elif learner.kind == "rf":
+        model = RandomForestClassifier(
+            featuresCol=FEATURES, labelCol=label, numTrees=p.get("trees", 100),
+            maxDepth=p.get("depth") or UNLIMITED_DEPTH, featureSubsetStrategy="sqrt", seed=seed,
+            **weighted, **_cols(name)).fit(train)
+    elif learner.kind == "gbt":
+        cols = _cols(name)
+        model = GBTClassifier(
+            featuresCol=FEATURES, labelCol=label, maxIter=p.get("steps", 100), maxDepth=p.get("depth", 3),
+            stepSize=p.get("rate", 0.1), subsamplingRate=p.get("rows", 1.0), seed=seed,
+            predictionCol=cols["predictionCol"]).fit(train)
+        model.setRawPredictionCol(cols["rawPredictionCol"])
+        model.setProbabilityCol(cols["probabilityCol"])
+    elif learner.kind == "stump":
+        model = DecisionTreeClassifier(
+            featuresCol=FEATURES, labelCol=label, maxDepth=1, seed=seed, **weighted, **_cols(name)).fit(train)
+    elif learner.kind == "rbf_svc":
+        spread = train.select(F.explode(vector_to_array(F.col(FEATURES))).alias("v")).agg(F.var_pop("v")).head()[0]
+        gamma = 1.0 / (width * (spread or 1.0))
+        lift = RandomFourier(FEATURES, f"_z_{name}", p.get("size", 128), gamma, width, seed)
+        lifted = lift.transform(train).select(key, label, *([weight] if w else []), f"_z_{name}")
+        stages = _svc_stages(lifted, name, f"_z_{name}", label, w, p.get("c", 1.0), n, key,
+                             p.get("max_iter", 100), p.get("platt_folds", 3))
+        return [lift, *stages, _clean(name, f"_z_{name}")]
+    elif learner.kind == "poly_svc":
+        expand = PolynomialExpansion(degree=2, inputCol=FEATURES, outputCol=f"_poly_{name}")
+        linear = {i * (i + 3) // 2 for i in range(width)}  # positions of the plain features
+        pure = VectorSlicer(inputCol=f"_poly_{name}", outputCol=f"_z_{name}",
+                            indices=[i for i in range(width * (width + 3) // 2) if i not in linear])
+        lifted = pure.transform(expand.transform(train))
+        stages = _svc_stages(lifted, name, f"_z_{name}", label, w, p.get("c", 1.0), n, key,
+                             p.get("max_iter", 100), p.get("platt_folds", 3))
+        return [expand, pure, *stages, _clean(name, f"_poly_{name}", f"_z_{name}")]
+    elif learner.kind == "knn":
+        rows = train.select(key, label, vector_to_array(F.col(FEATURES)).alias("v"))
+        if n * width <= LOCAL_POINTS:
+            local = rows.orderBy(key).collect()
+            points = [x for r in local for x in r["v"]]
+            return [NeighborVote(FEATURES, f"p_{name}", p.get("k", 3), width, points, [float(r[label]) for r in local])]
+        names = [F.col("v")[i].alias(f"_f{i}") for i in range(width)]
+        kept = materialize(rows.select(key, label, *names), "knn-train")
+        return [NeighborVote(FEATURES, f"p_{name}", p.get("k", 3), width, table=kept.inputFiles()[0].rsplit("/", 1)[0], key=key)]
+    else:
+        raise ValueError(f"unknown model kind {learner.kind}")
+    return [model, PositiveProbability(f"_prob_{name}", f"p_{name}"), _clean(name)]
+
+
+# ---- router --------------------------------------------------------------------------------------
+
+
+def fit_router(df: DataFrame, features: Sequence[str], segment: str = "cluster", c: float = 1.0,
+               max_iter: int = 200) -> PipelineModel:
+    """Multinomial logistic regression from raw columns to the segment number (0..k-1)."""
+    features = list(features)
+    scaled = [f"_r{i}" for i in range(len(features))]
+    copied = df.select(segment, *[F.col("`" + f + "`").cast("double").alias(s) for f, s in zip(features, scaled)])
+    scaler = Standardizer(scaled).fit(copied)
+    assemble = VectorAssembler(inputCols=scaled, outputCol="_route_x")
+    train = assemble.transform(scaler.transform(copied)).select(segment, "_route_x").persist()
+    try:
+        lr = logistic(c, train.count(), segment, "_route_x", max_iter=max_iter, family="multinomial",
+                      rawPredictionCol="_route_raw", probabilityCol="route_probability", predictionCol="route")
+        model = lr.fit(train)
+    finally:
+        train.unpersist()
+    return PipelineModel([
+        CopyColumns(features, scaled), scaler, assemble, model,
+        ColumnDropper([*scaled, "_route_x", "_route_raw"]),
+    ])
+
+
+class CopyColumns(_Stage, Transformer):
+    """Copies columns as doubles under new names, so that scaling leaves the originals alone."""
+
+    columns = Param(Params._dummy(), "columns", "columns to copy", TypeConverters.toListString)
+    names = Param(Params._dummy(), "names", "names of the copies", TypeConverters.toListString)
+
+    def __init__(self, columns=None, names=None):
+        super().__init__(columns=columns, names=names)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        pairs = zip(self.get("columns"), self.get("names"))
+        return df.select("*", *[F.col("`" + c + "`").cast("double").alias(n) for c, n in pairs])
+
+
+def router_model(router: PipelineModel):
+    return router.stages[3]
+
+
+def router_importance(router: PipelineModel, features: Sequence[str], k: int = 15) -> DataFrame:
+    """Mean absolute coefficient over the segments, per feature."""
+    from pyspark.sql import SparkSession
+
+    weights = np.abs(router_model(router).coefficientMatrix.toArray()).mean(axis=0)
+    rows = [(f, float(w)) for f, w in zip(features, weights)]
+    df = SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
+    return df.orderBy(F.desc("importance"), "feature").limit(k)
+
+
+def route(df: DataFrame, router: PipelineModel, segment: str = "cluster") -> DataFrame:
+    """Adds the routed segment and the router's probabilities."""
+    out = router.transform(df)
+    return out.withColumn(segment, F.col("route").cast("int")).drop("route")

@@ -19,6 +19,8 @@ from stratascore.functions.columns import balanced_sum, name_at, quoted, safe_di
 from stratascore.operators.split import sample_n
 from stratascore.operators.transform import _Stage
 
+MAX_UNROLLED = 128  # centres times features
+
 
 class Relabel(_Stage, Transformer):
     """Replaces segment number i by ``numbers[i]``."""
@@ -73,12 +75,22 @@ def centroids(df: DataFrame, features: Sequence[str], segment: str) -> list[tupl
 
 def assign_nearest(df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]],
                    out: str = "cluster") -> DataFrame:
-    """Number of the nearest centre (lowest number on a tie), as one column expression."""
+    """Number of the nearest centre (lowest number on a tie), as one column expression.
+
+    Small tables of centres unroll into arithmetic; larger ones loop over arrays, since the unrolled
+    code would outgrow one generated method.
+    """
     xs = [quoted(f).cast("double") for f in features]
-    each = [
-        F.struct(balanced_sum([(x - c) * (x - c) for x, c in zip(xs, center)]).alias("d"), F.lit(i).alias("i"))
-        for i, center in enumerate(centers)
-    ]
+    unroll = len(centers) * len(features) <= MAX_UNROLLED
+    row = F.array(*xs)
+
+    def distance(center: Sequence[float]):
+        if unroll:
+            return balanced_sum([(x - c) * (x - c) for x, c in zip(xs, center)])
+        gaps = F.zip_with(row, F.array(*[F.lit(float(c)) for c in center]), lambda x, c: (x - c) * (x - c))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g)
+
+    each = [F.struct(distance(center).alias("d"), F.lit(i).alias("i")) for i, center in enumerate(centers)]
     return df.withColumn(out, F.array_min(F.array(*each))["i"])
 
 

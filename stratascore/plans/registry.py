@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from stratascore.plans import queries_evaluate, queries_prepare, queries_profile  # noqa: F401
+    from stratascore.plans import queries_evaluate, queries_models, queries_prepare, queries_profile  # noqa: F401
