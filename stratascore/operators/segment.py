@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratascore.functions.columns import balanced_sum, name_at, quoted, safe_divide, to_long
+from stratascore.functions.columns import (
+    name_at, quoted, safe_divide, sql_double, sql_doubles, sql_name, to_long,
+)
 from stratascore.operators.split import sample_n
 from stratascore.operators.transform import _Stage
 
@@ -80,18 +82,17 @@ def assign_nearest(df: DataFrame, features: Sequence[str], centers: Sequence[Seq
     Small tables of centres unroll into arithmetic; larger ones loop over arrays, since the unrolled
     code would outgrow one generated method.
     """
-    xs = [quoted(f).cast("double") for f in features]
+    xs = [f"cast({sql_name(f)} as double)" for f in features]
     unroll = len(centers) * len(features) <= MAX_UNROLLED
-    row = F.array(*xs)
 
-    def distance(center: Sequence[float]):
+    def distance(center: Sequence[float]) -> str:
         if unroll:
-            return balanced_sum([(x - c) * (x - c) for x, c in zip(xs, center)])
-        gaps = F.zip_with(row, F.array(*[F.lit(float(c)) for c in center]), lambda x, c: (x - c) * (x - c))
-        return F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g)
+            return " + ".join(f"({x} - {sql_double(c)}) * ({x} - {sql_double(c)})" for x, c in zip(xs, center))
+        gaps = f"zip_with(array({', '.join(xs)}), {sql_doubles(center)}, (x, c) -> (x - c) * (x - c))"
+        return f"aggregate({gaps}, 0D, (total, g) -> total + g)"
 
-    each = [F.struct(distance(center).alias("d"), F.lit(i).alias("i")) for i, center in enumerate(centers)]
-    return df.withColumn(out, F.array_min(F.array(*each))["i"])
+    each = ", ".join(f"struct({distance(c)} AS d, {i} AS i)" for i, c in enumerate(centers))
+    return df.withColumn(out, F.expr(f"array_min(array({each})).i"))
 
 
 def silhouette(df: DataFrame, features: Sequence[str], segment: str = "cluster", n: int = 2000,

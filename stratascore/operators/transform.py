@@ -11,10 +11,14 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratascore.functions.columns import quoted, signed_log1p, to_long, yeo_johnson
+from stratascore.functions.columns import (
+    name_at, quoted, signed_log1p, sql_double, sql_doubles, sql_name, to_long, yeo_johnson,
+)
 from stratascore.operators import schema
 from stratascore.operators.profile import collect_stats
 
+LAMBDA_LIMIT = 20  # the likelihood is searched on -20..20
+
 
 class _Stage(Params, DefaultParamsReadable, DefaultParamsWritable):
     """A stage whose whole state is its params, so it saves and loads with any pipeline."""
@@ -67,11 +71,11 @@ class LinearScaler(_Stage, Transformer):
     def _transform(self, df: DataFrame) -> DataFrame:
         by = dict(zip(self.get("columns"), zip(self.get("shift"), self.get("scale"))))
 
-        def scaled(name: str):
-            shift, scale = by[name]
-            return ((quoted(name).cast("double") - shift) / scale).alias(name)
+        def scaled(name: str) -> str:
+            col, (shift, scale) = sql_name(name), by[name]
+            return f"(cast({col} as double) - {sql_double(shift)}) / {sql_double(scale)} AS {col}"
 
-        return df.select(*[scaled(c) if c in by else quoted(c) for c in df.columns])
+        return df.selectExpr(*[scaled(c) if c in by else sql_name(c) for c in df.columns])
 
     def inverse(self, df: DataFrame) -> DataFrame:
         scale = self.get("scale")
@@ -162,30 +166,22 @@ class YeoJohnson(_Stage, Estimator):
 
     def _fit(self, df: DataFrame) -> YeoJohnsonModel:
         names = self.get("columns")
-        step = 0.5
-        grids = {c: [i * step for i in range(-6, 7)] for c in names}
+        step = 1.0
+        grids = {c: [i * step for i in range(-LAMBDA_LIMIT, LAMBDA_LIMIT + 1)] for c in names}
         best: dict[str, float] = {}
         while True:
             scores = power_likelihood(df, names, grids).collect()
             by_name: dict[str, list] = {c: [] for c in names}
             for row in scores:
                 if row["loglik"] is not None and math.isfinite(row["loglik"]):
+                    # on equal likelihood the mildest transform wins
                     by_name[row["feature"]].append((row["loglik"], -abs(row["lam"] - 1), row["lam"]))
             for c in names:
                 best[c] = max(by_name[c])[2] if by_name[c] else 1.0
-            at_edge = [
-                c for c in names
-                if by_name[c] and best[c] in (min(grids[c]), max(grids[c])) and abs(best[c]) < 20
-            ]
-            if at_edge:
-                for c in at_edge:
-                    grids[c] = [best[c] + i * step for i in range(-6, 7)]
-                continue
             if step <= self.get("tolerance"):
                 break
-            fine = step / 10
-            grids = {c: [best[c] + i * fine for i in range(-10, 11)] for c in names}
-            step = fine
+            step /= 10
+            grids = {c: [best[c] + i * step for i in range(-10, 11)] for c in names}
         powered = YeoJohnsonModel(names, [best[c] for c in names], [0.0] * len(names), [1.0] * len(names))
         stats = collect_stats(powered.transform(df), names)
         means = [stats[c]["mean"] or 0.0 for c in names]
@@ -195,7 +191,7 @@ class YeoJohnson(_Stage, Estimator):
 
 def power_likelihood(df: DataFrame, features: Sequence[str], grids: dict[str, Sequence[float]]) -> DataFrame:
     """Log-likelihood of each candidate lambda of each feature: ``(feature, lam, loglik)``."""
-    candidates = F.array(*[F.array(*[F.lit(float(v)) for v in grids[f]]) for f in features])
+    candidates = F.expr("array(" + ", ".join(sql_doubles(grids[f]) for f in features) + ")")
     x, lam = F.col("value"), F.col("lam")
     rows = to_long(df, features).filter(x.isNotNull())
     trials = rows.withColumn("jacobian", signed_log1p(x)).withColumn("lam", F.explode(candidates[F.col("pos")]))
@@ -205,5 +201,4 @@ def power_likelihood(df: DataFrame, features: Sequence[str], grids: dict[str, Se
         F.sum("jacobian").alias("jacobian"),
     )
     loglik = -F.col("n") / 2 * F.log("var") + (lam - 1) * F.col("jacobian")
-    names = F.array(*[F.lit(f) for f in features])
-    return sums.select(names[F.col("pos")].alias("feature"), "lam", loglik.alias("loglik"))
+    return sums.select(name_at(features, F.col("pos")).alias("feature"), "lam", loglik.alias("loglik"))

@@ -55,28 +55,29 @@ class Segmentation:
     features: list[str]
     report: dict
 
-    def assign(self, df: DataFrame, key: str = "id", out: str = "cluster") -> DataFrame:
-        """``df`` plus the KMeans segment."""
-        prepared = self.preparation.transform(df).select(key, *preparation_components(self.preparation))
-        vectors = VectorAssembler(
-            inputCols=preparation_components(self.preparation), outputCol="_pc").transform(prepared)
-        found = self.segments.transform(vectors).select(key, F.col("cluster").alias(out))
-        return df.join(found, key)
+    def assign(self, df: DataFrame, out: str = "cluster") -> DataFrame:
+        """``df`` plus the KMeans segment. The raw row rides along as one struct, so nothing is joined."""
+        names = preparation_components(self.preparation)
+        rows = df.select(F.struct("*").alias("_row"), "*")
+        prepared = self.preparation.transform(rows).select("_row", *names)
+        vectors = VectorAssembler(inputCols=names, outputCol="_pc").transform(prepared)
+        found = self.segments.transform(vectors)
+        return found.select("_row.*", F.col("cluster").alias(out))
 
     def route(self, df: DataFrame) -> DataFrame:
         return route(df, self.router)
 
 
 def fit_segmentation(df: DataFrame, features: Sequence[str], k: int = 8, restarts: int = 20,
-                     max_iter: int = 500, key: str = "id") -> tuple[Segmentation, DataFrame]:
+                     max_iter: int = 500) -> tuple[Segmentation, DataFrame]:
     """Prepare, segment, attach the segment to the raw rows, train the router on them."""
     preparation, kept = fit_preparation(df, features)
     names = preparation_components(preparation)
-    prepared = materialize(preparation.transform(df).select(key, *names), "prepared")
-    vectors = VectorAssembler(inputCols=names, outputCol="_pc").transform(prepared).select(key, "_pc")
-    segments, report = G.fit_segments(vectors, k, restarts, max_iter, vector="_pc")
-    assigned = segments.transform(vectors).select(key, "cluster")
-    raw = materialize(df.join(assigned, key), "segmented")
+    rows = preparation.transform(df.select(F.struct("*").alias("_row"), "*")).select("_row", *names)
+    staged = materialize(VectorAssembler(inputCols=names, outputCol="_pc").transform(rows).select("_row", "_pc"), "prepared")
+    segments, report = G.fit_segments(staged, k, restarts, max_iter, vector="_pc")
+    # by segment, so that each segment's trainer reads its own folder
+    raw = materialize(segments.transform(staged).select("_row.*", "cluster"), "segmented", partition_by="cluster")
     stats = collect_stats(raw, features)
     live = [f for f in features if (stats[f]["var"] or 0.0) >= 1e-6]
     router = fit_router(raw, live)

@@ -228,7 +228,7 @@ SVC_SMOKE = {"size": 64, "max_iter": 15, "platt_folds": 2}
 LEARNERS = {
     "lr_score": M.Learner("lr", "lr", {"c": 1.0}),
     "rf_score": M.Learner("rf", "rf", {"trees": 100, "depth": 8}),
-    "gbt_score": M.Learner("gbt", "gbt", {"steps": 20, "depth": 3, "rate": 0.1}, balanced=False),
+    "gbt_score": M.Learner("gbt", "gbt", {"steps": 100, "depth": 3, "rate": 0.1}, balanced=False),
     "stump_score": M.Learner("dt", "stump", balanced=False),
     "rbf_svc_score": M.Learner("svc", "rbf_svc", {"c": 1.0, **SVC_SMOKE}),
     "poly_svc_score": M.Learner("svm", "poly_svc", {"c": 1.0, **SVC_SMOKE}),

@@ -151,7 +151,13 @@ class FittedRecipe:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """All input columns, the base probabilities, ``probability`` and ``prediction``."""
-        return ConstantModel(self.constant).transform(df) if self.model is None else self.model.transform(df)
+        if self.model is None:
+            return ConstantModel(self.constant).transform(df)
+        # preparation replaces columns, so the raw row rides along as one struct
+        rows = df.select(F.struct("*").alias("_row"), *[F.col("`" + f + "`") for f in self.features])
+        scored = self.model.transform(rows)
+        bases = [c for c in scored.columns if c.startswith("p_")]
+        return scored.select("_row.*", *bases, "probability", "prediction")
 
     def score(self, df: DataFrame, key: str = "id") -> DataFrame:
         """Key, probability and prediction only."""

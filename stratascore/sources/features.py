@@ -101,10 +101,9 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def embedding_features(spark: SparkSession, folder: str) -> DataFrame:
     """One row per vector; the ten vector classes are the segments, class 9 is the rare outcome."""
-    vec = F.col("embedding")
-    return read_table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("id"),
-        F.col("label").cast("int").alias("cluster"),
-        (F.col("label") == 9).cast("int").alias("label"),
-        *[vec[i].cast("double").alias(f) for i, f in enumerate(EMBEDDING_FEATURES)],
+    return read_table(spark, folder, "embeddings").selectExpr(
+        "vec_id AS id",
+        "cast(label as int) AS cluster",
+        "cast(label = 9 as int) AS label",
+        *[f"cast(embedding[{i}] as double) AS {f}" for i, f in enumerate(EMBEDDING_FEATURES)],
     )
