@@ -159,8 +159,8 @@ def mann_whitney(df: DataFrame, features: Sequence[str], label: str = "label") -
     u = F.col("rank_sum") - n0 * (n0 + 1) / 2
     sd = F.sqrt(n0 * n1 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     u_far = F.greatest(F.col("u"), n0 * n1 - F.col("u"))
-    z = F.when(sd > 0, (u_far - n0 * n1 / 2 - 0.5) / sd)
-    out = total.withColumn("u", u).withColumn("z", F.greatest(z, F.lit(0.0)))
+    z = F.when(sd > 0, F.greatest((u_far - n0 * n1 / 2 - 0.5) / sd, F.lit(0.0)))
+    out = total.withColumn("u", u).withColumn("z", z)
     p = F.when(F.col("z").isNull(), F.lit(1.0)).otherwise(normal_two_sided(F.coalesce("z", F.lit(0.0))))
     out = out.withColumn("p_value", p)
     return out.select(
