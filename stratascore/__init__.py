@@ -1,3 +1,10 @@
 """Segment-and-score analytics for wide numeric tables with a rare outcome."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in tasks travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,10 +3,12 @@
 Two ways, same result:
 
 * few points (row count times width is checked): they are broadcast as one array and every task
-  ranks its own query rows against it;
+  ranks its own query rows against it, without a shuffle;
 * many points: both sides are cut into cells around pivot points. A query visits only the cells that
   can hold one of its k nearest rows, by the triangle inequality. Cells are split into chunks and
   query groups are salted, so no group outgrows a task, whatever share of the rows a cell holds.
+  Copies are merged first: of equal points only the lowest keys can be among the nearest, and equal
+  queries have the same answer, so a row that fills a third of the table is searched once.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from stratascore.functions.columns import quoted
 from stratascore.operators.split import sample_n
 from stratascore.session import materialize
 
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 8 << 20
 TILE_CELLS = 2_000_000
 CHUNK_ROWS = 20_000
 MAX_PIVOTS = 1024
@@ -76,37 +78,48 @@ def _stack(vectors) -> np.ndarray:
     return np.array(vectors.tolist(), dtype=float) if len(vectors) else np.zeros((0, 1))
 
 
-def _result(q: pd.DataFrame, p_keys, p_values, rows, cols, dist) -> pd.DataFrame:
-    return pd.DataFrame({
-        "key": q["key"].to_numpy()[rows], "neighbor": p_keys[cols],
-        "d2": dist, "value": p_values[cols],
-    })
+def _places(rows: np.ndarray) -> np.ndarray:
+    """1, 2, ... within each run of equal row numbers."""
+    return np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
 
 
-def _broadcast_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool, schema: str) -> DataFrame:
+def _broadcast_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool) -> DataFrame:
     local = points.toPandas().sort_values("key", kind="stable")  # size checked by the caller
     shared = queries.sparkSession.sparkContext.broadcast(
         (local["key"].to_numpy(), _stack(local["vec"]), local["value"].to_numpy(dtype=float)))
+    kind = points.schema["key"].dataType.simpleString()
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, matrix, values = shared.value
         for q in batches:
-            found = _nearest(q["key"].to_numpy(), _stack(q["vec"]), keys, matrix, k, exclude_self)
-            yield _result(q, keys, values, *found)
+            rows, cols, d2 = _nearest(q["key"].to_numpy(), _stack(q["vec"]), keys, matrix, k, exclude_self)
+            yield pd.DataFrame({
+                "key": q["key"].to_numpy()[rows], "place": _places(rows).astype("int32"), "neighbor": keys[cols],
+                "d2": d2, "value": values[cols], "to": list(matrix[cols]),
+            })
 
+    schema = f"key {kind}, place int, neighbor {kind}, d2 double, value double, to array<double>"
     return queries.select("key", "vec").mapInPandas(search, schema)
 
 
 def _cell_join(queries: DataFrame, points: DataFrame, n_points: int, k: int, exclude_self: bool,
-               schema: str, chunk_rows: int) -> DataFrame:
+               chunk_rows: int) -> DataFrame:
     spark = queries.sparkSession
-    key_type = points.schema["key"].dataType.simpleString()
-    n_pivots = int(min(MAX_PIVOTS, max(16, k + 2, math.ceil(n_points / chunk_rows)), n_points))
+    kind = points.schema["key"].dataType.simpleString()
+    reach = k + 1 if exclude_self else k  # one more, since a row may find itself
+
+    # of equal points the lowest keys win; row_number with a limit is cut before the shuffle
+    copies = Window.partitionBy("vec").orderBy("key")
+    points = points.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= reach).drop("copy")
+    points = materialize(points, "knn-distinct")
+    asked_once = queries.select("vec").dropDuplicates(["vec"])
+
+    n_pivots = int(min(MAX_PIVOTS, max(16, reach + 1, math.ceil(n_points / chunk_rows))))
     chosen = sample_n(points, n_pivots, key="key", seed=7).toPandas().sort_values("key", kind="stable")
-    shared = spark.sparkContext.broadcast((chosen["key"].to_numpy(), _stack(chosen["vec"])))
+    shared = spark.sparkContext.broadcast(_stack(chosen["vec"]))
 
     def to_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _, pivots = shared.value
+        pivots = shared.value
         for b in batches:
             if len(b):
                 d = _squared(_stack(b["vec"]), pivots)
@@ -115,7 +128,7 @@ def _cell_join(queries: DataFrame, points: DataFrame, n_points: int, k: int, exc
                 yield b
 
     celled = materialize(
-        points.mapInPandas(to_cell, f"key {key_type}, vec array<double>, value double, cell int, radius double"),
+        points.mapInPandas(to_cell, f"key {kind}, vec array<double>, value double, cell int, radius double"),
         "knn-points")
     cells = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("r")).collect()
     radius = np.full(len(chosen), -1.0)  # -1: nobody lives there
@@ -125,33 +138,26 @@ def _cell_join(queries: DataFrame, points: DataFrame, n_points: int, k: int, exc
         chunks[c["cell"]] = max(1, math.ceil(c["n"] / chunk_rows))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pivot_keys, pivots = shared.value
+        pivots = shared.value
         for b in batches:
             if not len(b):
                 continue
-            d2 = _squared(_stack(b["vec"]), pivots)
-            d = np.sqrt(d2)
+            d = np.sqrt(_squared(_stack(b["vec"]), pivots))
             # pivots are points, so the k-th nearest pivot bounds the k-th neighbour from above
-            bound = d.copy()
-            if exclude_self:
-                bound[b["key"].to_numpy()[:, None] == pivot_keys[None, :]] = np.inf
-            upper = np.partition(bound, k - 1, axis=1)[:, k - 1] if bound.shape[1] >= k else np.full(len(b), np.inf)
+            enough = d.shape[1] >= reach
+            upper = np.partition(d, reach - 1, axis=1)[:, reach - 1] if enough else np.full(len(b), np.inf)
             # every row of a cell is within the cell's radius and on its side of each bisector
             lower = np.maximum(d - radius[None, :], (d - d.min(axis=1, keepdims=True)) / 2)
             i, c = np.nonzero((lower <= upper[:, None] * SLACK + 1e-12) & (radius[None, :] >= 0))
-            out = b.iloc[i].copy()
-            out["cell"] = c.astype("int32")
-            yield out[["key", "vec", "cell"]]
+            yield pd.DataFrame({"vec": b["vec"].to_numpy()[i], "cell": c.astype("int32")})
 
-    asked = materialize(
-        queries.select("key", "vec").mapInPandas(visits, f"key {key_type}, vec array<double>, cell int"),
-        "knn-queries")
+    asked = materialize(asked_once.mapInPandas(visits, "vec array<double>, cell int"), "knn-queries")
     load = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     salts = [max(1, math.ceil(load.get(c, 0) / chunk_rows)) for c in range(len(chosen))]
     n_chunks = F.array(*[F.lit(int(c)) for c in chunks])[F.col("cell")]
     n_salts = F.array(*[F.lit(int(s)) for s in salts])[F.col("cell")]
 
-    left = asked.withColumn("salt", F.pmod(F.xxhash64("key", F.lit(1)), n_salts).cast("int")).withColumn(
+    left = asked.withColumn("salt", F.pmod(F.xxhash64("vec", F.lit(1)), n_salts).cast("int")).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
     right = celled.withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(2)), n_chunks).cast("int")).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
@@ -159,38 +165,50 @@ def _cell_join(queries: DataFrame, points: DataFrame, n_points: int, k: int, exc
 
     def search(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("key", kind="stable")
-        p_keys, p_values = p["key"].to_numpy(), p["value"].to_numpy(dtype=float)
-        if not len(q) or not len(p):
-            return _result(q.iloc[:0], p_keys, p_values, *[np.array([], dtype=int)] * 2, np.array([]))
-        found = _nearest(q["key"].to_numpy(), _stack(q["vec"]), p_keys, _stack(p["vec"]), k, exclude_self)
-        return _result(q, p_keys, p_values, *found)
-
-    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(search, schema)
+        keys, values = p["key"].to_numpy(), p["value"].to_numpy(dtype=float)
+        if len(q) and len(p):
+            matrix = _stack(p["vec"])
+            rows, cols, d2 = _nearest(np.arange(len(q)), _stack(q["vec"]), keys, matrix, reach, False)
+        else:
+            rows = cols = np.array([], dtype=int)
+            matrix, d2 = np.zeros((0, 1)), np.array([])
+        return pd.DataFrame({
+            "vec": q["vec"].to_numpy()[rows], "neighbor": keys[cols], "d2": d2,
+            "value": values[cols], "to": list(matrix[cols]),
+        })
+
+    schema = f"vec array<double>, neighbor {kind}, d2 double, value double, to array<double>"
+    near = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(search, schema)
+    # at most (chunks visited x reach) rows per query vector, cut to the nearest before they are listed
+    best = Window.partitionBy("vec").orderBy("d2", "neighbor")
+    ranked = near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= reach)
+    found = F.array_sort(F.collect_list(F.struct("rank", "neighbor", "d2", "value", "to")))
+    answers = ranked.groupBy("vec").agg(found.alias("found"))
+    own = queries.select("key", "vec").join(answers, "vec")
+    others = F.filter("found", lambda f: f["neighbor"] != F.col("key")) if exclude_self else F.col("found")
+    listed = own.select("key", F.posexplode(F.slice(others, 1, k)).alias("at", "f"))
+    return listed.select("key", (F.col("at") + 1).alias("place"), "f.neighbor", "f.d2", "f.value", "f.to")
 
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, features: Sequence[str], key: str = "id",
-             value: str | None = None, exclude_self: bool = False, broadcast_bytes: int = BROADCAST_BYTES,
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+             value: str | None = None, exclude_self: bool = False, with_vector: bool = False,
+             broadcast_bytes: int = BROADCAST_BYTES, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``(key, neighbor, place, distance, value)``: for each query row its k nearest points.
 
-    ``value`` names a numeric column of the points to bring along. A query gets fewer than k rows
-    only if there are fewer than k points.
+    ``value`` names a numeric column of the points to bring along; ``with_vector`` adds the features
+    of the neighbour as an array ``to``. A query gets fewer than k rows only if there are fewer than
+    k points.
     """
     q = _as_vectors(queries, features, key, None)
     p = _as_vectors(points, features, key, value)
-    kind = p.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, neighbor {kind}, d2 double, value double"
     n_points = p.count()
     if n_points * (len(features) + 2) * 8 <= broadcast_bytes:
-        near = _broadcast_join(q, p, k, exclude_self, schema)
+        near = _broadcast_join(q, p, k, exclude_self)
     else:
-        near = _cell_join(q, p, n_points, k, exclude_self, schema, chunk_rows)
-    best = Window.partitionBy("key").orderBy("d2", "neighbor")
-    return (
-        near.withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= k)
-        .select(F.col("key").alias(key), "neighbor", "place", F.sqrt("d2").alias("distance"), "value")
-    )
+        near = _cell_join(q, p, n_points, k, exclude_self, chunk_rows)
+    return near.select(
+        F.col("key").alias(key), "neighbor", "place", F.sqrt("d2").alias("distance"), "value",
+        *(["to"] if with_vector else []))
 
 
 def knn_vote(queries: DataFrame, points: DataFrame, k: int, features: Sequence[str], key: str = "id",

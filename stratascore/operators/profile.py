@@ -12,6 +12,7 @@ from stratascore.functions.columns import (
     is_missing, name_at, quoted, safe_divide, to_long,
 )
 from stratascore.operators.ranking import exact_quantiles
+from stratascore.session import kept_between_passes
 
 
 def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -105,20 +106,34 @@ def flag_profile(df: DataFrame, flags: Sequence[str], expected: float = 1.0) ->
     return counts.join(per_flag, "feature").select("feature", "value", "n", "all_expected")
 
 
+def _stats_and_quantiles(df: DataFrame, features: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``feature_stats`` with exact quantiles beside it, d rows; the input is evaluated once."""
+    narrow = df.select(*[quoted(f).cast("double").alias(f) for f in features])
+    with kept_between_passes(narrow) as rows:
+        stats = collect_stats(rows, features)
+        quantiles = exact_quantiles(rows, features, probs, sizes={f: s["n"] for f, s in stats.items()})
+        found = {r["feature"]: r.asDict() for r in quantiles.collect()}
+    names = [f"q{round(q * 100)}" for q in probs]
+    table = [
+        (f, s["n"], *[s[c] for c in ("mean", "std", "min", "max")], *[found[f][q] for q in names])
+        for f, s in stats.items()
+    ]
+    columns = ["mean", "std", "min", "max", *names]
+    schema = "feature string, n bigint, " + ", ".join(f"{c} double" for c in columns)
+    return df.sparkSession.createDataFrame(table, schema)
+
+
 def scale_summary(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """min, max, mean, exact median, sample std and range per feature."""
-    medians = exact_quantiles(df, features, [0.5]).select("feature", F.col("q50").alias("median"))
-    return feature_stats(df, features).join(medians, "feature").select(
-        "feature", "min", "max", "mean", "median", "std", (F.col("max") - F.col("min")).alias("range")
-    )
+    return _stats_and_quantiles(df, features, [0.5]).select(
+        "feature", "min", "max", "mean", F.col("q50").alias("median"), "std",
+        (F.col("max") - F.col("min")).alias("range"))
 
 
 def describe_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max per feature; quartiles interpolate linearly."""
-    quartiles = exact_quantiles(df, features, [0.25, 0.5, 0.75])
-    return feature_stats(df, features).join(quartiles, "feature").select(
-        "feature", F.col("n").alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+    return _stats_and_quantiles(df, features, [0.25, 0.5, 0.75]).select(
+        "feature", F.col("n").alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def scale_split(df: DataFrame, features: Sequence[str], low: float = 0.0, high: float = 1.5) -> DataFrame:

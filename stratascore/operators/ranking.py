@@ -84,19 +84,26 @@ def _order_statistics(long: DataFrame, wanted: dict[int, list[int]], sizes: dict
 
 
 def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Sequence[float],
-                    small: int = SMALL_GROUP) -> DataFrame:
-    """Exact quantiles with linear interpolation: one row per feature, columns ``q25`` and so on."""
+                    small: int = SMALL_GROUP, sizes: dict[str, int] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation: one row per feature, columns ``q25`` and so on.
+
+    ``sizes`` are the known rows per feature, if the caller has counted them already.
+    """
     spark = df.sparkSession
     long = to_long(df, features).filter(F.col("value").isNotNull())
-    sizes = {r["pos"]: r["n"] for r in long.groupBy("pos").agg(F.count(F.lit(1)).alias("n")).collect()}
-    spots = {(p, q): (n - 1) * q for p, n in sizes.items() for q in probs}
+    if sizes is None:
+        counted = long.groupBy("pos").agg(F.count(F.lit(1)).alias("n")).collect()
+        at_pos = {r["pos"]: r["n"] for r in counted}
+    else:
+        at_pos = {i: sizes[f] for i, f in enumerate(features) if sizes[f]}
+    spots = {(p, q): (n - 1) * q for p, n in at_pos.items() for q in probs}
     wanted = {
-        p: sorted({f(spots[p, q]) for q in probs for f in (math.floor, math.ceil)}) for p in sizes
+        p: sorted({f(spots[p, q]) for q in probs for f in (math.floor, math.ceil)}) for p in at_pos
     }
-    at = _order_statistics(long, wanted, sizes, small)
+    at = _order_statistics(long, wanted, at_pos, small)
 
     def value(p: int, q: float) -> float | None:
-        if p not in sizes:
+        if p not in at_pos:
             return None
         spot = spots[p, q]
         lo, hi = at[p, math.floor(spot)], at[p, math.ceil(spot)]

@@ -46,7 +46,8 @@ def smote(df: DataFrame, features: Sequence[str], ratio: float, k: int = 1, key:
     if n_pos <= k:
         raise ValueError(f"{n_pos} positives are too few for {k} neighbours")
     minority = df.filter(F.col(label) == 1)
-    near = knn_join(minority, minority, k, features, key, exclude_self=True, **knn_options)
+    # the neighbour's features come with it, so a row that is everyone's neighbour needs no join
+    near = knn_join(minority, minority, k, features, key, exclude_self=True, with_vector=True, **knn_options)
     base, extra = divmod(n_new, n_pos)
     draws = F.lit(base)
     if extra:
@@ -57,12 +58,9 @@ def smote(df: DataFrame, features: Sequence[str], ratio: float, k: int = 1, key:
         drawn = drawn.filter(~_after(cut, key, seed))
     pick = (F.pmod(hash_u32(key, F.col("draw"), "pick", seed), F.lit(k)) + 1).cast("int")
     drawn = drawn.withColumn("place", pick).withColumn("u", uniform(key, F.col("draw"), "step", seed))
-    ends = minority.select(
-        F.col(key).alias("neighbor"), *[quoted(f).cast("double").alias(f"_to_{i}") for i, f in enumerate(features)])
-    links = near.select(key, "place", "neighbor").join(ends, "neighbor")
-    moved = drawn.join(links, [key, "place"])
+    moved = drawn.join(near.select(key, "place", "to"), [key, "place"])
     step = {
-        f: (quoted(f) + F.col("u") * (F.col(f"_to_{i}") - quoted(f))).alias(f) for i, f in enumerate(features)
+        f: (quoted(f) + F.col("u") * (F.col("to")[i] - quoted(f))).alias(f) for i, f in enumerate(features)
     }
     made = moved.select(*[step.get(c, quoted(c)) for c in df.columns], "draw")
     real = df.select(

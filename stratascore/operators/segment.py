@@ -6,10 +6,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from stratascore.functions.columns import (
 )
 from stratascore.operators.split import sample_n
 from stratascore.operators.transform import _Stage
+from stratascore.session import kept_between_passes
 
 MAX_UNROLLED = 128  # centres times features
 
@@ -40,22 +41,23 @@ class Relabel(_Stage, Transformer):
 
 
 def fit_segments(df: DataFrame, k: int = 8, restarts: int = 20, max_iter: int = 500, seed: int = 42,
-                 vector: str = "features", out: str = "cluster") -> tuple[PipelineModel, dict]:
+                 vector: str = "features", out: str = "cluster", tol: float = 1e-4) -> tuple[PipelineModel, dict]:
     """KMeans with restarts: the run with the least inertia wins.
 
     Segment numbers are arbitrary, so they are reordered by size, then by centroid. Every restart
-    reads the same persisted vectors.
+    reads the same kept vectors. A run has converged when its centres together moved, squared, by no
+    more than ``tol`` times the mean variance of a feature.
     """
-    vectors = df.select(vector).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept_between_passes(df.select(vector)) as vectors:
+        variance = vectors.select(Summarizer.variance(F.col(vector))).head()[0].toArray().mean()
+        move = float(np.sqrt(tol * variance / k)) or 1e-12  # what one centre may move
         best = None
         for i in range(restarts):
-            model = KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol=vector, predictionCol=out).fit(vectors)
+            kmeans = KMeans(k=k, maxIter=max_iter, tol=move, seed=seed + i, featuresCol=vector, predictionCol=out)
+            model = kmeans.fit(vectors)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
         sizes = list(best.summary.clusterSizes)
-    finally:
-        vectors.unpersist()
     centers = [c.tolist() for c in best.clusterCenters()]
     order = sorted(range(len(centers)), key=lambda c: (-sizes[c], centers[c]))
     numbers = [order.index(c) for c in range(len(centers))]

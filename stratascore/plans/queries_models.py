@@ -87,7 +87,7 @@ def prepare_pipeline(spark, folder):
     return model.transform(df)
 
 
-@query("transform_repeatable")
+@query("transform_repeatable", "SELECT count(*) AS n, 0e0 AS max_gap FROM customer")
 def transform_repeatable(spark, folder):
     df = customers(spark, folder)
     model, _ = flows.fit_preparation(df, CUSTOMER_FEATURES)
@@ -238,7 +238,7 @@ LEARNERS = {
 
 def learner_query(learner: M.Learner):
     def run(spark, folder):
-        df = document_features(spark, folder)
+        df = materialize(document_features(spark, folder), "documents")
         core = S.fit_core(df, DOCUMENT_FEATURES, S.StackSpec((learner,)))
         scored = core.transform(df).withColumnRenamed(f"p_{learner.name}", "probability")
         return E.apply_threshold(scored, 0.5).select("id", "label", "probability", "prediction")
@@ -318,7 +318,7 @@ def recipe_metadata(spark, folder):
     return metadata(spark, [fitted]).drop("features")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS n_added FROM customer")
 def model_roundtrip(spark, folder):
     """Rows that score differently after save and load: the two counts must be 0."""
     df = customers(spark, folder)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -60,3 +64,27 @@ def materialize(df, name: str, partition_by: str | None = None):
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+SMALL_TABLE = 1_000_000
+ROWS_PER_CORE = 500
+
+
+@contextmanager
+def kept_between_passes(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a narrow table for a fit that reads it several times; lost blocks are recomputed.
+
+    A table below a million rows tends to sit in one partition; it is spread over the cores.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    spread = None
+    try:
+        n = kept.count()
+        if n <= SMALL_TABLE:
+            cores = df.sparkSession.sparkContext.defaultParallelism
+            spread = kept.repartition(max(1, min(cores, math.ceil(n / ROWS_PER_CORE)))).persist(StorageLevel.MEMORY_AND_DISK)
+        yield kept if spread is None else spread
+    finally:
+        if spread is not None:
+            spread.unpersist()
+        kept.unpersist()

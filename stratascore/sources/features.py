@@ -80,16 +80,16 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
     """
     text = F.col("text")
 
-    def count_of(chars: str):
-        return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("bigint")
+    def count_of(pattern: str):
+        return F.regexp_count(text, F.lit(pattern)).cast("bigint")
 
     documents = read_table(spark, folder, "documents").select(
         "doc_id",
         F.col("lang").alias("grp"),
         F.col("n_chars").cast("bigint").alias("n_chars"),
-        count_of("0123456789").alias("n_digit"),
-        count_of("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
-        count_of(".,;:!?").alias("n_punct"),
+        count_of("[0-9]").alias("n_digit"),
+        count_of("[A-Z]").alias("n_upper"),
+        count_of("[.,;:!?]").alias("n_punct"),
         count_of(" ").alias("n_space"),
         count_of("\n").alias("n_nl"),
     )

@@ -41,14 +41,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
-def write_segments(df: DataFrame, path: str, segment: str = "cluster", files_per_segment: int = 1,
+def write_segments(df: DataFrame, path: str, segment: str = "cluster", files_per_segment: int | None = None,
                    key: str = "id", fmt: str = "parquet") -> str:
     """One folder per segment, in one job.
 
-    The rows are spread by (segment, salt) first, so a segment that holds a third of the table is
-    written by ``files_per_segment`` tasks and not by one.
+    By default every task writes its own rows, so nothing is shuffled and a segment that holds a
+    third of the table is written by all tasks. With ``files_per_segment`` the rows are spread by
+    (segment, salt) first, which gives fewer and larger files.
     """
-    salt = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_segment))
-    spread = df.repartition(F.col(segment), salt)
-    spread.write.mode("overwrite").option("header", True).partitionBy(segment).format(fmt).save(path)
+    if files_per_segment:
+        salt = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_segment))
+        df = df.repartition(F.col(segment), salt)
+    df.write.mode("overwrite").option("header", True).partitionBy(segment).format(fmt).save(path)
     return path
