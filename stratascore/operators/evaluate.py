@@ -176,12 +176,13 @@ def segment_report(scored: DataFrame, metadata: DataFrame, segment: str = "clust
     return report.join(metadata.select(segment, "n_features"), segment)
 
 
-def fold_scores(df: DataFrame, fold: str = "fold", label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Accuracy, recall and F1 per fold for 0/1 labels; null where a fold leaves one undefined."""
-    c = df.groupBy(fold).agg(*_counts(label, prediction))
+def fold_scores(df: DataFrame, fold: str = "fold", label: str = "label", prediction: str = "prediction",
+                by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, recall and F1 per fold (and ``by``) for 0/1 labels; null where a fold leaves one undefined."""
+    c = df.groupBy(*by, fold).agg(*_counts(label, prediction))
     tt, tf, ft = F.col("tt"), F.col("tf"), F.col("ft")
     return c.select(
-        fold, "n", (tt + tf).alias("n_pos"),
+        *by, fold, "n", (tt + tf).alias("n_pos"),
         ((tt + F.col("ff")) / F.col("n")).alias("accuracy"),
         safe_divide(tt.cast("double"), tt + tf).alias("recall"),
         safe_divide(2.0 * tt, 2 * tt + tf + ft).alias("f1"),

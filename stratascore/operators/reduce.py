@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Estimator, PipelineModel, Transformer
@@ -118,23 +120,63 @@ def transform_gap(model, df: DataFrame, key: str = "id") -> DataFrame:
     return both.agg(F.count(F.lit(1)).alias("n"), F.max(gap).alias("max_gap"))
 
 
-def l1_fit(scaled: DataFrame, features: Sequence[str], c: float, n: int, label: str = "label") -> list[float]:
-    """Coefficients of an L1 logistic regression on standardized columns (weights sum to n)."""
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_x").transform(scaled)
-    lr = LogisticRegression(
+def _l1_table(df: DataFrame, features: Sequence[str], label: str) -> tuple[PipelineModel, DataFrame]:
+    """Standardize, assemble, weigh: the fitted stages and the table an L1 fit reads."""
+    from stratascore.operators.resample import add_class_weight
+
+    stages = PipelineModel([
+        Standardizer(list(features)).fit(df), VectorAssembler(inputCols=list(features), outputCol="_x")])
+    return stages, add_class_weight(stages.transform(df).select(label, "_x"), label)
+
+
+def _l1_model(table: DataFrame, n: int, c: float, label: str):
+    """L1 logistic regression with inverse strength c; the balanced weights sum to n."""
+    return LogisticRegression(
         featuresCol="_x", labelCol=label, weightCol="weight", elasticNetParam=1.0, regParam=1.0 / (c * n),
-        standardization=False, maxIter=300, tol=1e-7)
-    return lr.fit(assembled).coefficients.toArray().tolist()
+        standardization=False, maxIter=300, tol=1e-7).fit(table)
 
 
 def l1_select(df: DataFrame, features: Sequence[str], c: float = 0.01, label: str = "label") -> list[tuple[str, float]]:
     """Features with a non-zero coefficient, and that coefficient, in table order."""
-    from stratascore.operators.resample import add_class_weight
-
-    scaled = Standardizer(list(features)).fit(df).transform(df)
-    weighted = add_class_weight(scaled, label).persist()
+    table = _l1_table(df, features, label)[1].persist()
     try:
-        coefs = l1_fit(weighted, features, c, weighted.count(), label)
+        coefs = _l1_model(table, table.count(), c, label).coefficients.toArray().tolist()
     finally:
-        weighted.unpersist()
+        table.unpersist()
     return [(f, w) for f, w in zip(features, coefs) if w != 0.0]
+
+
+def l1_sweep(df: DataFrame, features: Sequence[str], strengths: Sequence[float], folds: int = 5, key: str = "id",
+             label: str = "label", threads: int = 4) -> DataFrame:
+    """Features kept on all rows, and mean F1 over stratified folds, per strength: ``(c, n_features, f1)``.
+
+    Each training part is prepared once for all strengths; all held-out predictions are judged in
+    one aggregate.
+    """
+    from stratascore.operators.evaluate import fold_scores
+    from stratascore.operators.split import assign_folds
+
+    rows = assign_folds(df.select(key, label, *[F.col("`" + f + "`") for f in features]), folds, key, by=label)
+
+    def part(j: int | None) -> list:
+        stages, table = _l1_table(rows if j is None else rows.filter(F.col("fold") != j), features, label)
+        table = table.persist()
+        try:
+            n = table.count()
+            models = [(c, _l1_model(table, n, c, label)) for c in strengths]
+        finally:
+            table.unpersist()
+        if j is None:
+            return [(float(c), int(np.count_nonzero(m.coefficients.toArray()))) for c, m in models]
+        held = stages.transform(rows.filter(F.col("fold") == j)).select("fold", label, "_x")
+        return [
+            m.transform(held).select(F.lit(float(c)).alias("c"), "fold", label, F.col("prediction").cast("int").alias("prediction"))
+            for c, m in models
+        ]
+
+    with ThreadPoolExecutor(threads) as pool:
+        whole, *parts = list(pool.map(part, [None, *range(folds)]))
+    scored = reduce(DataFrame.unionByName, [p for found in parts for p in found])
+    f1 = fold_scores(scored, "fold", label, by=["c"]).groupBy("c").agg(F.avg("f1").alias("f1"))
+    kept = df.sparkSession.createDataFrame(whole, "c double, n_features int")
+    return kept.join(f1, "c", "left")

@@ -96,28 +96,9 @@ def transform_repeatable(spark, folder):
 
 @query("l1_select")
 def l1_select(spark, folder):
-    """Coefficients that survive the L1 penalty, for each strength, with the folds' mean F1."""
-    df = materialize(document_features(spark, folder), "l1")
-    folds = B.assign_folds(df, 3)
-    rows = []
-    for c in (0.005, 0.01, 0.02, 0.05, 0.1):
-        kept = D.l1_select(df, DOCUMENT_FEATURES, c)
-        parts = []
-        for j in range(3):
-            train = folds.filter(F.col("fold") != j)
-            scaler = Standardizer(DOCUMENT_FEATURES).fit(train)
-            weighted = add_class_weight(scaler.transform(train)).persist()
-            coefs = weighted.count() and D.VectorAssembler(inputCols=DOCUMENT_FEATURES, outputCol="_x")
-            lr = D.LogisticRegression(
-                featuresCol="_x", labelCol="label", weightCol="weight", elasticNetParam=1.0,
-                regParam=1.0 / (c * weighted.count()), standardization=False, maxIter=100)
-            model = lr.fit(coefs.transform(weighted))
-            held = coefs.transform(scaler.transform(folds.filter(F.col("fold") == j)))
-            parts.append(model.transform(held).select("fold", "label", F.col("prediction").cast("int").alias("prediction")))
-            weighted.unpersist()
-        scores = E.score_summary(E.fold_scores(reduce(DataFrame.unionByName, parts)), ["f1"]).head()
-        rows.append((c, len(kept), scores["mean"]))
-    return spark.createDataFrame(rows, "c double, n_features int, f1 double")
+    """Features that survive the L1 penalty at each strength, with the mean F1 over five folds."""
+    df = materialize(document_features(spark, folder), "documents")
+    return D.l1_sweep(df, DOCUMENT_FEATURES, (0.005, 0.01, 0.02, 0.05, 0.1))
 
 
 @query("dimension_experiment")
