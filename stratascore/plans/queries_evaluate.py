@@ -16,7 +16,7 @@ from stratascore.plans.oracle_sql import CUSTOMER, EMBEDDING, EMBEDDING_LONG, ha
 from stratascore.plans.queries_prepare import fold_sql
 from stratascore.plans.queries_profile import r
 from stratascore.plans.registry import query
-from stratascore.session import scratch_path
+from stratascore.session import materialize, scratch_path
 from stratascore.sources.features import (
     CUSTOMER_CORE, EMBEDDING_FEATURES, customer_features, embedding_features,
 )
@@ -29,12 +29,18 @@ BIAS, W_RET, W_DONE, W_SD = -3.2, 3.0, 1.5, 0.05
 THRESHOLD = 0.45
 
 
+def customers(spark, folder):
+    """The customer table, written once: fits read it many times and must not redo its joins."""
+    return materialize(customer_features(spark, folder), "customers")
+
+
 def assigned_customers(spark, folder):
-    """Standardized customers, each in the nearest of the five market-segment centroids."""
-    df = customer_features(spark, folder)
-    z = Standardizer(CUSTOMER_CORE).fit(df).transform(df)
+    """Raw customers, each in the nearest of the five market-segment centroids of standardized columns."""
+    df = customers(spark, folder)
+    rows = df.select(F.struct("*").alias("_row"), "grp", *CUSTOMER_CORE)
+    z = Standardizer(CUSTOMER_CORE).fit(rows).transform(rows)
     centers = [c for _, c in G.centroids(z, CUSTOMER_CORE, "grp")]
-    return G.assign_nearest(z, CUSTOMER_CORE, centers)
+    return G.assign_nearest(z, CUSTOMER_CORE, centers).select("_row.*", "cluster")
 
 
 def with_score(df):
@@ -54,9 +60,7 @@ def scored_customers(spark, folder):
 
 def routed_customers(spark, folder):
     """Raw customers with segment, score and flag."""
-    scored = scored_customers(spark, folder)
-    segments = assigned_customers(spark, folder).select("id", "cluster")
-    return scored.join(segments, "id")
+    return E.apply_threshold(with_score(assigned_customers(spark, folder)), THRESHOLD)
 
 
 NEAR = f"""{long_cte('cust', CUSTOMER_CORE)},
@@ -259,7 +263,7 @@ def knn_classify(spark, folder):
 def knn_cells(spark, folder):
     """The same neighbours by the way for point sets too large to broadcast."""
     train, test = train_test(spark, folder)
-    out = knn_join(test, train, 3, EMBEDDING_FEATURES, broadcast_bytes=0, chunk_rows=50)
+    out = knn_join(test, train, 3, EMBEDDING_FEATURES, broadcast_bytes=0, chunk_rows=400)
     return out.select("id", "neighbor", "place", r("distance", 6))
 
 

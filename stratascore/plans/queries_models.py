@@ -20,6 +20,7 @@ from stratascore.operators.resample import add_class_weight
 from stratascore.operators.transform import MinMaxSelected, Standardizer, VarianceFilter
 from stratascore.plans import flows
 from stratascore.plans.oracle_sql import CUSTOMER
+from stratascore.plans.queries_evaluate import customers
 from stratascore.plans.queries_profile import r
 from stratascore.plans.recipes import fit_recipe, load_recipe, metadata, recipes, save_recipe
 from stratascore.plans.registry import query
@@ -30,11 +31,6 @@ from stratascore.sources.features import (
 )
 
 
-def customers(spark, folder):
-    """The customer table, written once: fits read it many times and must not redo its joins."""
-    return materialize(customer_features(spark, folder), "customers")
-
-
 # ---- reduction -----------------------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ from stratascore.operators.profile import feature_stats
 from stratascore.plans.oracle_sql import CUSTOMER, DOCUMENT, EMBEDDING, hash_u32, with_long
 from stratascore.plans.queries_profile import r
 from stratascore.plans.registry import query
+from stratascore.session import materialize
 from stratascore.sources.features import (
     CUSTOMER_CORE, CUSTOMER_FEATURES, DOCUMENT_FEATURES, EMBEDDING_FEATURES,
     customer_features, document_features, embedding_features,
@@ -79,7 +80,7 @@ def z_sql(names, table="cust"):
 
 @query("standardize", f"WITH {CUSTOMER} SELECT id, {z_sql(CUSTOMER_FEATURES)} FROM cust")
 def standardize(spark, folder):
-    df = customer_features(spark, folder)
+    df = materialize(customer_features(spark, folder), "customers")
     out = T.Standardizer(CUSTOMER_FEATURES).fit(df).transform(df)
     return out.select("id", *[r(c, 6) for c in CUSTOMER_FEATURES])
 
@@ -93,7 +94,7 @@ def minmax_sql(names):
 
 @query("minmax_selected", f"WITH {CUSTOMER} SELECT id, {minmax_sql(CUSTOMER_CORE)} FROM cust")
 def minmax_selected(spark, folder):
-    df = customer_features(spark, folder)
+    df = materialize(customer_features(spark, folder), "customers")
     out = T.MinMaxSelected(CUSTOMER_CORE).fit(df).transform(df)
     return out.select("id", *[F.round(F.col(c).cast("double"), 9).alias(c) for c in CUSTOMER_CORE])
 
@@ -104,7 +105,7 @@ s AS (SELECT l.feature, CASE WHEN lo >= 0 AND hi <= 1 THEN value ELSE (value - l
   FROM cust_long l JOIN b ON b.feature = l.feature)
 SELECT feature, round(var_pop(value), 6) AS var_pop FROM s GROUP BY feature HAVING var_pop(value) > 0.015""")
 def variance_filter(spark, folder):
-    df = customer_features(spark, folder).select("id", *CUSTOMER_FEATURES)
+    df = materialize(customer_features(spark, folder).select("id", *CUSTOMER_FEATURES), "customers")
     scaled = T.MinMaxSelected(CUSTOMER_FEATURES).fit(df).transform(df)
     kept = T.VarianceFilter(CUSTOMER_FEATURES, 0.015).fit(scaled).transform(scaled)
     return feature_stats(kept, [c for c in kept.columns if c != "id"]).select("feature", r("var_pop", 6))
