@@ -8,7 +8,6 @@ from stratascore.operators import evaluate as E
 from stratascore.operators import segment as G
 from stratascore.operators import score as P
 from stratascore.operators.neighbors import knn_join, knn_vote
-from stratascore.operators.profile import feature_stats
 from stratascore.operators.resample import add_class_weight, resampling_check, smote
 from stratascore.operators.split import assign_folds
 from stratascore.operators.transform import Standardizer

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratascore.operators import profile as P
 from stratascore.operators import schema as S
