@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratascore.llm import decontamination, language_id, mixing, sharding, simhash_dedup, substring_dedup, token_counts, url_rules, vector_search
+from stratascore.llm import (
+    decontamination, language_id, lm_scoring, mixing, sharding, simhash_dedup, substring_dedup, token_counts, url_rules,
+    vector_search,
+)
 from stratascore.llm.common import read
 
 
@@ -26,6 +29,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_texts(read(spark, folder, "documents"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(read(spark, folder, "documents"))
 
@@ -47,6 +54,6 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(docs).select("doc_id", sharding.bytes_of(F.col("text")).alias("n_bytes"), "shard", "shard_bytes")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op3_token_counts, op4_mixing, op6_language_id, op7_decontamination, op8_vector_search,
-                                 op9_url_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op3_token_counts, op4_mixing, op5_lm_scoring,
+                                 op6_language_id, op7_decontamination, op8_vector_search, op9_url_rules, op10_sharding)}
 ORACLES = {"op4_mixing": mixing.MIX_SQL, "op10_sharding": sharding.SHARD_SQL.format(limit=sharding.LIMIT)}
