@@ -201,3 +201,17 @@ def score_summary(folds: DataFrame, metrics: Sequence[str]) -> DataFrame:
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics]))
     return folds.select(each.alias("s")).select("s.*").groupBy("metric").agg(
         F.count("v").alias("n_folds"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+
+
+def outer_fold_report(oof: DataFrame, fold: str = "outer_fold", label: str = "label", score: str = "probability") -> DataFrame:
+    """Per outer fold: rows, positives and the highest probability it gave."""
+    return oof.groupBy(fold).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("n_pos"), F.max(score).alias("max_probability"))
+
+
+def model_fold_scores(oof: DataFrame, scores: Sequence[str], fold: str = "fold", label: str = "label",
+                      threshold: float = 0.5) -> DataFrame:
+    """Recall and F1 per fold of each model whose out-of-fold probabilities stand side by side."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("model"), (F.col(c) >= threshold).cast("int").alias("prediction")) for c in scores]))
+    return fold_scores(oof.select(fold, label, each.alias("m")).select(fold, label, "m.*"), fold, label, by=["model"])

@@ -15,17 +15,17 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratascore.operators.neighbors import _nearest, knn_vote
-from stratascore.operators.split import assign_folds_by_hash
-from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage, _floats
-from stratascore.session import materialize
+from stratascore.operators import neighbors
+from stratascore.operators.split import assign_folds
+from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage
+from stratascore.session import FIT_PARTITIONS, drop_path, laid_out, scratch_path
 
 FEATURES = "_x"
 UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
-LOCAL_POINTS = 200_000  # numbers a model may carry inside its own params
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,12 @@ class ConstantModel:
         return df.withColumn("probability", F.lit(float(self.value))).withColumn("prediction", F.lit(self.value))
 
 
+def constant_predictions(df: DataFrame, kinds: DataFrame, segment: str = "cluster") -> DataFrame:
+    """Rows of one-class segments with that class, in one scan: ``kinds`` has one row per segment."""
+    constant = kinds.filter("constant IS NOT NULL").select(segment, F.col("constant").cast("int").alias("prediction"))
+    return df.join(constant, segment)
+
+
 def majority(votes: list[Column], at_least: int) -> Column:
     """1 if at least so many of the 0/1 votes are 1."""
     return (reduce(lambda a, b: a + b, votes) >= at_least).cast("int")
@@ -116,44 +122,48 @@ class RandomFourier(_Stage, Transformer):
 class NeighborVote(_Stage, Transformer):
     """Share of positives among the k nearest training rows.
 
-    A small training set travels inside the stage; a large one stays a table in the shared folder
-    and is joined by cells.
+    The training rows are a table of ``(key, vec, value)``, in the shared folder while the model is in
+    use and inside the model's own folder once it is saved. A query is found by its vector, so the
+    stage needs no key of the rows it scores. Whether the points are broadcast or joined by cells is
+    decided by their size at scoring time.
     """
 
     source = Param(Params._dummy(), "source", "vector column", TypeConverters.toString)
     target = Param(Params._dummy(), "target", "new column", TypeConverters.toString)
     k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)
     width = Param(Params._dummy(), "width", "length of the vector", TypeConverters.toInt)
-    points = _floats("points", "training rows, flat, in key order")
-    labels = _floats("labels", "training labels")
-    table = Param(Params._dummy(), "table", "path of a large training set", TypeConverters.toString)
-    key = Param(Params._dummy(), "key", "row key", TypeConverters.toString)
+    table = Param(Params._dummy(), "table", "path of the training rows", TypeConverters.toString)
 
-    def __init__(self, source=None, target=None, k=None, width=None, points=None, labels=None, table=None, key=None):
-        super().__init__(source=source, target=target, k=k, width=width, points=points, labels=labels, table=table, key=key)
+    def __init__(self, source=None, target=None, k=None, width=None, table=None):
+        super().__init__(source=source, target=target, k=k, width=width, table=table)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        source, target, k = self.get("source"), self.get("target"), self.get("k")
-        if self.isSet(self.table):
-            names = [f"_f{i}" for i in range(self.get("width"))]
-            parts = vector_to_array(F.col(source))
-            asked = df.select(self.get("key"), *[parts[i].alias(n) for i, n in enumerate(names)])
-            known = df.sparkSession.read.parquet(self.get("table"))
-            votes = knn_vote(asked, known, k, names, self.get("key"))
-            return df.join(votes.withColumnRenamed("probability", target), self.get("key"), "left")
-        matrix = np.array(self.get("points"), dtype=float).reshape(-1, self.get("width"))
-        labels = np.array(self.get("labels"), dtype=float)
-
-        @F.pandas_udf("double")
-        def vote(rows: pd.Series) -> pd.Series:
-            if not len(rows):
-                return pd.Series([], dtype=float)
-            x = np.array(rows.tolist(), dtype=float)
-            i, j, _ = _nearest(np.arange(len(x)), x, np.arange(len(matrix)), matrix, k, False)
-            hits = np.bincount(i, weights=labels[j], minlength=len(x))
-            return pd.Series(hits / np.maximum(np.bincount(i, minlength=len(x)), 1))
+        points = df.sparkSession.read.parquet(self.get("table"))
+        rows = df.withColumn("_vec", vector_to_array(F.col(self.get("source"))))
+        votes = neighbors.vote_by_vector(rows.select("_vec"), points, self.get("k"), self.get("width"))
+        votes = votes.select(F.col("vec").alias("_asked"), F.col("probability").alias(self.get("target")))
+        return rows.join(votes, rows["_vec"] == votes["_asked"], "left").drop("_vec", "_asked")
+
+    def write(self):
+        return _NeighborWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _NeighborReader(cls)
+
+    def forget(self) -> None:
+        drop_path(SparkSession.getActiveSession(), self.get("table"))
+
 
-        return df.withColumn(target, vote(vector_to_array(F.col(source))))
+class _NeighborWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.sparkSession.read.parquet(self.instance.get("table")).write.parquet(f"{path}/points")
+
+
+class _NeighborReader(DefaultParamsReader):
+    def load(self, path: str) -> NeighborVote:
+        return super().load(path)._set(table=f"{path}/points")
 
 
 def _cols(name: str) -> dict:
@@ -167,14 +177,30 @@ def _clean(name: str, *more: str) -> ColumnDropper:
 
 
 def logistic(c: float, weight_sum: float, label: str = "label", features: str = FEATURES, weight: str | None = None,
-             max_iter: int = 300, **cols) -> LogisticRegression:
-    """L2 logistic regression with inverse strength ``c``; the intercept is free."""
+             max_iter: int = 2000, **cols) -> LogisticRegression:
+    """L2 logistic regression with inverse strength ``c``; the intercept is free.
+
+    ``max_iter`` is the published limit; fits end by tolerance long before, see ``converged``.
+    """
     lr = LogisticRegression(
         featuresCol=features, labelCol=label, regParam=1.0 / (c * weight_sum), elasticNetParam=0.0,
         standardization=False, maxIter=max_iter, tol=1e-6, **cols)
     return lr.setWeightCol(weight) if weight else lr
 
 
+def converged(model, max_iter: int) -> bool:
+    """Whether a fit ended by its tolerance and not by the limit of its iterations."""
+    return model.summary.totalIterations < max_iter
+
+
+def fit_logistic(lr: LogisticRegression, rows: DataFrame):
+    """Fit and refuse a result that only the limit of iterations has ended."""
+    model = lr.fit(rows)
+    if not converged(model, lr.getMaxIter()):
+        raise RuntimeError(f"no convergence in {lr.getMaxIter()} iterations; raise max_iter")
+    return model
+
+
 def _svc_stages(train: DataFrame, name: str, source: str, label: str, weight: str | None, c: float, n: int,
                 key: str, max_iter: int, folds: int) -> list:
     """Linear SVC, then a sigmoid fitted on margins of rows the SVC did not see."""
@@ -184,7 +210,7 @@ def _svc_stages(train: DataFrame, name: str, source: str, label: str, weight: st
             rawPredictionCol=f"_raw_{name}", predictionCol=f"_pred_{name}")
         return model.setWeightCol(weight) if weight else model
 
-    split = assign_folds_by_hash(train, folds, key, seed=11, fold="_platt").persist()
+    split = assign_folds(train, folds, key, 11, label, "_platt").persist()
     try:
         held = [svc().fit(split.filter(F.col("_platt") != i)).transform(split.filter(F.col("_platt") == i))
                 for i in range(folds)]
@@ -195,8 +221,7 @@ def _svc_stages(train: DataFrame, name: str, source: str, label: str, weight: st
         model = svc().fit(split)
     finally:
         split.unpersist()
-    slope = max(float(platt.coefficients[0]), 0.0)  # a larger margin never means a lower probability
-    return [model, PlattScale(f"_raw_{name}", f"p_{name}", slope, float(platt.intercept))]
+    return [model, PlattScale(f"_raw_{name}", f"p_{name}", float(platt.coefficients[0]), float(platt.intercept))]
 
 
 def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str = "id", label: str = "label",
@@ -206,7 +231,7 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
     w = weight if learner.balanced else None
     weighted = {"weightCol": weight} if learner.balanced else {}
     if learner.kind == "lr":
-        model = logistic(p.get("c", 1.0), n, label, weight=w, **_cols(name)).fit(train)
+        model = fit_logistic(logistic(p.get("c", 1.0), n, label, weight=w, **_cols(name)), train)
     elif learner.kind == "rf":
         model = RandomForestClassifier(
             featuresCol=FEATURES, labelCol=label, numTrees=p.get("trees", 100),
@@ -241,14 +266,10 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
                              p.get("max_iter", 100), p.get("platt_folds", 3))
         return [expand, pure, *stages, _clean(name, f"_poly_{name}", f"_z_{name}")]
     elif learner.kind == "knn":
-        rows = train.select(key, label, vector_to_array(F.col(FEATURES)).alias("v"))
-        if n * width <= LOCAL_POINTS:
-            local = rows.orderBy(key).collect()
-            points = [x for r in local for x in r["v"]]
-            return [NeighborVote(FEATURES, f"p_{name}", p.get("k", 3), width, points, [float(r[label]) for r in local])]
-        names = [F.col("v")[i].alias(f"_f{i}") for i in range(width)]
-        kept = materialize(rows.select(key, label, *names), "knn-train")
-        return [NeighborVote(FEATURES, f"p_{name}", p.get("k", 3), width, table=kept.inputFiles()[0].rsplit("/", 1)[0], key=key)]
+        path = scratch_path(train.sparkSession, "knn-train")
+        points = train.select(F.col(key).alias("key"), vector_to_array(F.col(FEATURES)).alias("vec"), F.col(label).cast("double").alias("value"))
+        points.write.parquet(path)
+        return [NeighborVote(FEATURES, f"p_{name}", p.get("k", 3), width, path)]
     else:
         raise ValueError(f"unknown model kind {learner.kind}")
     return [model, PositiveProbability(f"_prob_{name}", f"p_{name}"), _clean(name)]
@@ -258,18 +279,19 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
 
 
 def fit_router(df: DataFrame, features: Sequence[str], segment: str = "cluster", c: float = 1.0,
-               max_iter: int = 200) -> PipelineModel:
+               max_iter: int = 2000, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Multinomial logistic regression from raw columns to the segment number (0..k-1)."""
     features = list(features)
     scaled = [f"_r{i}" for i in range(len(features))]
     copied = df.select(segment, *[F.col("`" + f + "`").cast("double").alias(s) for f, s in zip(features, scaled)])
     scaler = Standardizer(scaled).fit(copied)
     assemble = VectorAssembler(inputCols=scaled, outputCol="_route_x")
-    train = assemble.transform(scaler.transform(copied)).select(segment, "_route_x").persist()
+    train = assemble.transform(scaler.transform(copied)).select(segment, "_route_x", vector_to_array(F.col("_route_x")).alias("_values"))
+    train = laid_out(train, ["_values"], partitions).drop("_values").persist()
     try:
         lr = logistic(c, train.count(), segment, "_route_x", max_iter=max_iter, family="multinomial",
                       rawPredictionCol="_route_raw", probabilityCol="route_probability", predictionCol="route")
-        model = lr.fit(train)
+        model = fit_logistic(lr, train)
     finally:
         train.unpersist()
     return PipelineModel([

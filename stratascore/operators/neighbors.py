@@ -29,7 +29,6 @@ from stratascore.session import materialize
 BROADCAST_BYTES = 8 << 20
 TILE_CELLS = 2_000_000
 CHUNK_ROWS = 20_000
-MAX_PIVOTS = 1024
 SLACK = 1 + 1e-9  # keeps a cell whose bound equals the k-th distance up to rounding
 
 
@@ -87,7 +86,7 @@ def _broadcast_join(queries: DataFrame, points: DataFrame, k: int, exclude_self:
     local = points.toPandas().sort_values("key", kind="stable")  # size checked by the caller
     shared = queries.sparkSession.sparkContext.broadcast(
         (local["key"].to_numpy(), _stack(local["vec"]), local["value"].to_numpy(dtype=float)))
-    kind = points.schema["key"].dataType.simpleString()
+    kind, own = (t.schema["key"].dataType.simpleString() for t in (points, queries))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, matrix, values = shared.value
@@ -98,7 +97,7 @@ def _broadcast_join(queries: DataFrame, points: DataFrame, k: int, exclude_self:
                 "d2": d2, "value": values[cols], "to": list(matrix[cols]),
             })
 
-    schema = f"key {kind}, place int, neighbor {kind}, d2 double, value double, to array<double>"
+    schema = f"key {own}, place int, neighbor {kind}, d2 double, value double, to array<double>"
     return queries.select("key", "vec").mapInPandas(search, schema)
 
 
@@ -114,7 +113,8 @@ def _cell_join(queries: DataFrame, points: DataFrame, n_points: int, k: int, exc
     points = materialize(points, "knn-distinct")
     asked_once = queries.select("vec").dropDuplicates(["vec"])
 
-    n_pivots = int(min(MAX_PIVOTS, max(16, reach + 1, math.ceil(n_points / chunk_rows))))
+    # with the square root of the rows, choosing a cell and searching it cost about the same
+    n_pivots = int(max(16, reach + 1, math.ceil(math.sqrt(n_points))))
     chosen = sample_n(points, n_pivots, key="key", seed=7).toPandas().sort_values("key", kind="stable")
     shared = spark.sparkContext.broadcast(_stack(chosen["vec"]))
 
@@ -201,16 +201,27 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, features: Sequence[s
     """
     q = _as_vectors(queries, features, key, None)
     p = _as_vectors(points, features, key, value)
-    n_points = p.count()
-    if n_points * (len(features) + 2) * 8 <= broadcast_bytes:
-        near = _broadcast_join(q, p, k, exclude_self)
-    else:
-        near = _cell_join(q, p, n_points, k, exclude_self, chunk_rows)
+    near = _near(q, p, k, len(features), exclude_self, broadcast_bytes, chunk_rows)
     return near.select(
         F.col("key").alias(key), "neighbor", "place", F.sqrt("d2").alias("distance"), "value",
         *(["to"] if with_vector else []))
 
 
+def _near(q: DataFrame, p: DataFrame, k: int, width: int, exclude_self: bool, broadcast_bytes: int, chunk_rows: int) -> DataFrame:
+    n_points = p.count()
+    if n_points * (width + 2) * 8 <= broadcast_bytes:
+        return _broadcast_join(q, p, k, exclude_self)
+    return _cell_join(q, p, n_points, k, exclude_self, chunk_rows)
+
+
+def vote_by_vector(vectors: DataFrame, points: DataFrame, k: int, width: int, broadcast_bytes: int | None = None,
+                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(vec, probability)`` per distinct vector of a one-column table; ``points`` has ``key, vec, value``."""
+    asked = vectors.toDF("vec").dropDuplicates(["vec"]).where("vec IS NOT NULL").select(F.col("vec").alias("key"), "vec")
+    near = _near(asked, points, k, width, False, BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes, chunk_rows)
+    return near.groupBy(F.col("key").alias("vec")).agg(F.avg("value").alias("probability"))
+
+
 def knn_vote(queries: DataFrame, points: DataFrame, k: int, features: Sequence[str], key: str = "id",
              label: str = "label", **options) -> DataFrame:
     """``(key, probability)``: the share of positives among the k nearest training rows."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,63 +23,73 @@ SKETCH_ACCURACY = 10_000
 SMALL_GROUP = 1_000_000
 
 
+def _sketches(long: DataFrame, intervals: list[tuple[int, float, float]]) -> dict[tuple, list[float]]:
+    """A thousand cuts of the values of each feature inside each interval."""
+    plan = long.sparkSession.createDataFrame([(i, *x) for i, x in enumerate(intervals)], "at int, pos int, lo double, hi double")
+    cuts = F.percentile_approx("value", [i / 1000 for i in range(1001)], SKETCH_ACCURACY)
+    inside = long.join(F.broadcast(plan), "pos").filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+    return {intervals[row["at"]]: row["cuts"] for row in inside.groupBy("at").agg(cuts.alias("cuts")).collect()}
+
+
+def _counts_at(long: DataFrame, edges: dict[int, list[float]]) -> dict[int, list[tuple[int, int]]]:
+    """Rows below each edge and up to it, per feature. A row is counted once, under the edges around it."""
+    plan = long.sparkSession.createDataFrame([(p, e) for p, e in edges.items()], "pos int, edges array<double>")
+    v = F.col("value")
+    under, upto = (F.size(F.filter("edges", test)) for test in (lambda e: e < v, lambda e: e <= v))
+    rows = long.join(F.broadcast(plan), "pos").groupBy("pos", under.alias("under"), upto.alias("upto")).agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    out = {p: [[0, 0] for _ in e] for p, e in edges.items()}
+    for row in rows:
+        for i, both in enumerate(out[row["pos"]]):
+            both[0] += row["n"] if row["upto"] <= i else 0
+            both[1] += row["n"] if row["under"] <= i else 0
+    return {p: [(low, high) for low, high in found] for p, found in out.items()}
+
+
 def _order_statistics(long: DataFrame, wanted: dict[int, list[int]], sizes: dict[int, int],
                       small: int) -> dict[tuple[int, int], float]:
-    """The value at each 0-based rank: ``{(pos, rank): value}``."""
+    """The value at each 0-based rank: ``{(pos, rank): value}``.
+
+    A bracket is cut down by a sketch of what it holds and then split at the sketch's best guess, which
+    leaves the bracket. So a value that fills most of it is either the answer or gone.
+    """
     spark = long.sparkSession
     v, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
     # (pos, rank) -> bracket that holds the rank: low, high, rows below it, rows inside it
-    brackets = {(p, r): (float("-inf"), float("inf"), 0, sizes[p]) for p, ranks in wanted.items() for r in ranks}
-    open_keys = {k for k, b in brackets.items() if b[3] > small}
-    margin = dict.fromkeys(open_keys, 1)
-
-    def up_to_bracket(items: dict) -> DataFrame:
-        # d x ranks rows, so the broadcast is bounded by the number of features
-        rows = [(p, r, b[0], b[1]) for (p, r), b in items.items()]
-        plan = spark.createDataFrame(rows, "pos int, rank bigint, lo double, hi double")
-        return long.join(F.broadcast(plan), "pos").filter(v <= hi)
-
-    while open_keys:
-        wide = {k: brackets[k] for k in open_keys}
-        # 1. sketch the rows inside each bracket and cut it down around the rank
-        sketch = F.percentile_approx("value", [i / 1000 for i in range(1001)], SKETCH_ACCURACY)
-        sketched = up_to_bracket(wide).filter(v >= lo).groupBy("pos", "rank").agg(sketch.alias("cuts"))
+    brackets = {(p, r): (-math.inf, math.inf, 0, sizes[p]) for p, ranks in wanted.items() for r in ranks}
+    margin, found = dict.fromkeys(brackets, 1), {}
+    while wide := {k: b for k, b in brackets.items() if k not in found and b[3] > small}:
+        sketches = _sketches(long, sorted({(p, b[0], b[1]) for (p, _), b in wide.items()}))
         tried = {}
-        for row in sketched.collect():
-            key, cuts = (row["pos"], row["rank"]), row["cuts"]
-            at = (key[1] - wide[key][2]) / max(wide[key][3] - 1, 1) * 1000
-            left = max(math.floor(at) - margin[key], 0)
-            right = min(math.ceil(at) + margin[key], 1000)
-            tried[key] = (cuts[left], cuts[right], 0, 0)
-        # 2. count what lies below and inside the new brackets
-        counted = up_to_bracket(tried).groupBy("pos", "rank").agg(
-            F.count_if(v < lo).alias("below"), F.count_if(v >= lo).alias("n")
-        )
-        for row in counted.collect():
-            key = (row["pos"], row["rank"])
-            if not row["below"] <= key[1] < row["below"] + row["n"]:
+        for key, b in wide.items():
+            cuts = sketches[key[0], b[0], b[1]]
+            at = (key[1] - b[2]) / max(b[3] - 1, 1) * 1000
+            left, right = max(math.floor(at) - margin[key], 0), min(math.ceil(at) + margin[key], 1000)
+            tried[key] = (b[0] if left == 0 else cuts[left], cuts[round(at)], b[1] if right == 1000 else cuts[right])
+        edges: dict[int, list[float]] = {}
+        for key, cut in tried.items():
+            edges[key[0]] = sorted({*edges.get(key[0], []), *cut})
+        counts = _counts_at(long, edges)
+        for key, (low, mid, high) in tried.items():
+            (below, _), (under, through), (_, upto) = (counts[key[0]][edges[key[0]].index(e)] for e in (low, mid, high))
+            if not below <= key[1] < upto:
                 margin[key] *= 10  # outside the sketch's error bound: try again with a wider cut
-                continue
-            shrunk = row["n"] <= wide[key][3] / 2
-            brackets[key] = (tried[key][0], tried[key][1], row["below"], row["n"])
-            if row["n"] <= small or tried[key][0] == tried[key][1] or not shrunk:
-                open_keys.discard(key)
-
-    # one value fills the bracket, or few rows are left: count the distinct values, run along them
-    found = {k: b[0] for k, b in brackets.items() if b[0] == b[1]}
+            elif under <= key[1] < through:
+                found[key] = mid
+            elif key[1] < under:
+                brackets[key] = (low, math.nextafter(mid, -math.inf), below, under - below)
+            else:
+                brackets[key] = (math.nextafter(mid, math.inf), high, through, upto - through)
+
+    # few rows are left in each bracket: count the distinct values, run along them
     rest = {k: b for k, b in brackets.items() if k not in found}
     if rest:
-        counts = (
-            up_to_bracket(rest).filter(v >= lo).groupBy("pos", "rank", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        run = Window.partitionBy("pos", "rank").orderBy("value")
-        ends = counts.withColumn("end", F.sum("n").over(run))
-        offsets = spark.createDataFrame([(p, r, r - b[2]) for (p, r), b in rest.items()],
-                                        "pos int, rank bigint, target bigint")
-        hits = ends.join(F.broadcast(offsets), ["pos", "rank"]).filter(
-            (F.col("end") > F.col("target")) & (F.col("end") - F.col("n") <= F.col("target"))
-        )
+        plan = spark.createDataFrame([(p, r, b[0], b[1], r - b[2]) for (p, r), b in rest.items()],
+                                     "pos int, rank bigint, lo double, hi double, target bigint")
+        inside = long.join(F.broadcast(plan), "pos").filter((v >= lo) & (v <= hi))
+        counted = inside.groupBy("pos", "rank", "target", "value").agg(F.count(F.lit(1)).alias("n"))
+        ends = counted.withColumn("end", F.sum("n").over(Window.partitionBy("pos", "rank").orderBy("value")))
+        hits = ends.filter((F.col("end") > F.col("target")) & (F.col("end") - F.col("n") <= F.col("target")))
         found.update({(row["pos"], row["rank"]): row["value"] for row in hits.collect()})
     return found
 
@@ -125,6 +136,40 @@ def normal_two_sided(z: Column) -> Column:
     return tail(z)
 
 
+def exact_two_sided(u: float, n0: int, n1: int) -> float:
+    """Two-sided p of U without ties, by counting: how many orders of the rows give each U."""
+    few, many = sorted((n0, n1))
+    ways = np.zeros(n0 * n1 + 1)
+    ways[0] = 1.0
+    for i in range(1, few + 1):  # the product of (1 - x^(many + i)) / (1 - x^i), term by term
+        top = ways.copy()
+        top[many + i:] -= ways[: len(ways) - many - i]
+        for at in range(i, len(top)):
+            top[at] += top[at - i]
+        ways = top
+    far = max(u, n0 * n1 - u)
+    return float(min(1.0, 2 * ways[math.ceil(far - 1e-9):].sum() / ways.sum()))
+
+
+def mann_whitney_exact(df: DataFrame, features: Sequence[str], label: str = "label", small: int = 8) -> DataFrame:
+    """As ``mann_whitney``, with the exact p where a class has at most ``small`` rows and no value repeats."""
+    out = mann_whitney(df, features, label)
+    long = to_long(df, features, [label]).filter(F.col("value").isNotNull())
+    facts = long.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 0).alias("n0")).groupBy("pos").agg(
+        F.max("n").alias("most"), F.sum("n0").cast("bigint").alias("n0"), (F.sum("n") - F.sum("n0")).cast("bigint").alias("n1"))
+    facts = facts.select(name_at(features, F.col("pos")).alias("feature"), "most", "n0", "n1")
+
+    @F.pandas_udf(T.DoubleType())
+    def exact(u: pd.Series, n0: pd.Series, n1: pd.Series) -> pd.Series:
+        return pd.Series([exact_two_sided(*x) for x in zip(u, n0, n1)], dtype=float)
+
+    fits = (F.col("most") == 1) & (F.least("n0", "n1") <= small) & (F.least("n0", "n1") > 0)
+    both = out.join(facts, "feature")
+    asked = both.withColumn("exact_p", F.when(fits, exact("u", F.when(fits, F.col("n0")).otherwise(0), F.when(fits, F.col("n1")).otherwise(0))))
+    p = F.coalesce("exact_p", "p_value")
+    return asked.select("feature", "u", "z", fits.alias("exact"), p.alias("p_value"), (-F.log10(F.greatest(p, F.lit(1e-300)))).alias("neg_log10_p"))
+
+
 def mann_whitney(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """U of the negative class, tie- and continuity-corrected z, two-sided p per feature.
 

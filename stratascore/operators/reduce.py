@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stratascore.functions.columns import sql_doubles
 from stratascore.operators.transform import Standardizer, _Stage, _names
 
 
@@ -133,7 +134,7 @@ def _l1_model(table: DataFrame, n: int, c: float, label: str):
     """L1 logistic regression with inverse strength c; the balanced weights sum to n."""
     return LogisticRegression(
         featuresCol="_x", labelCol=label, weightCol="weight", elasticNetParam=1.0, regParam=1.0 / (c * n),
-        standardization=False, maxIter=300, tol=1e-7).fit(table)
+        standardization=False, maxIter=5000, tol=1e-7).fit(table)
 
 
 def l1_select(df: DataFrame, features: Sequence[str], c: float = 0.01, label: str = "label") -> list[tuple[str, float]]:
@@ -168,11 +169,13 @@ def l1_sweep(df: DataFrame, features: Sequence[str], strengths: Sequence[float],
             table.unpersist()
         if j is None:
             return [(float(c), int(np.count_nonzero(m.coefficients.toArray()))) for c, m in models]
-        held = stages.transform(rows.filter(F.col("fold") == j)).select("fold", label, "_x")
-        return [
-            m.transform(held).select(F.lit(float(c)).alias("c"), "fold", label, F.col("prediction").cast("int").alias("prediction"))
-            for c, m in models
-        ]
+        held = stages.transform(rows.filter(F.col("fold") == j)).select("fold", label, vector_to_array("_x").alias("x"))
+        # every strength judges the row in one pass: the sign of its margin is its prediction
+        judged = [
+            F.struct(F.lit(float(c)).alias("c"), (F.expr(
+                f"aggregate(zip_with(x, {sql_doubles(m.coefficients.toArray().tolist())}, (a, w) -> a * w), 0D, (s, v) -> s + v)"
+            ) + m.intercept > 0).cast("int").alias("prediction")) for c, m in models]
+        return [held.select("fold", label, F.explode(F.array(*judged)).alias("j")).select("j.c", "fold", label, "j.prediction")]
 
     with ThreadPoolExecutor(threads) as pool:
         whole, *parts = list(pool.map(part, [None, *range(folds)]))

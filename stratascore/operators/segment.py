@@ -20,7 +20,7 @@ from stratascore.functions.columns import (
 )
 from stratascore.operators.split import sample_n
 from stratascore.operators.transform import _Stage
-from stratascore.session import kept_between_passes
+from stratascore.session import FIT_PARTITIONS, laid_out
 
 MAX_UNROLLED = 128  # centres times features
 
@@ -41,14 +41,18 @@ class Relabel(_Stage, Transformer):
 
 
 def fit_segments(df: DataFrame, k: int = 8, restarts: int = 20, max_iter: int = 500, seed: int = 42,
-                 vector: str = "features", out: str = "cluster", tol: float = 1e-4) -> tuple[PipelineModel, dict]:
+                 vector: str = "features", out: str = "cluster", tol: float = 1e-4,
+                 partitions: int = FIT_PARTITIONS) -> tuple[PipelineModel, dict]:
     """KMeans with restarts: the run with the least inertia wins.
 
     Segment numbers are arbitrary, so they are reordered by size, then by centroid. Every restart
-    reads the same kept vectors. A run has converged when its centres together moved, squared, by no
+    reads the same kept vectors, laid out by their own hash in ``partitions`` parts, so the result is the
+    same however the table comes. A run has converged when its centres together moved, squared, by no
     more than ``tol`` times the mean variance of a feature.
     """
-    with kept_between_passes(df.select(vector)) as vectors:
+    values = df.select(vector, vector_to_array(F.col(vector)).alias("_values"))
+    vectors = laid_out(values, ["_values"], partitions).select(vector).persist()
+    try:
         variance = vectors.select(Summarizer.variance(F.col(vector))).head()[0].toArray().mean()
         move = float(np.sqrt(tol * variance / k)) or 1e-12  # what one centre may move
         best = None
@@ -58,12 +62,14 @@ def fit_segments(df: DataFrame, k: int = 8, restarts: int = 20, max_iter: int =
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
         sizes = list(best.summary.clusterSizes)
+    finally:
+        vectors.unpersist()
     centers = [c.tolist() for c in best.clusterCenters()]
     order = sorted(range(len(centers)), key=lambda c: (-sizes[c], centers[c]))
     numbers = [order.index(c) for c in range(len(centers))]
     report = {
         "inertia": float(best.summary.trainingCost), "iterations": int(best.summary.numIter),
-        "sizes": [sizes[c] for c in order], "centers": [centers[c] for c in order],
+        "sizes": [sizes[c] for c in order], "centers": [centers[c] for c in order], "partitions": partitions,
     }
     return PipelineModel([best, Relabel(out, numbers)]), report
 

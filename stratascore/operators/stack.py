@@ -6,7 +6,6 @@ each other, so they are submitted from a few driver threads and share the cluste
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -19,14 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratascore.operators.models import (
-    FEATURES, CopyColumns, Learner, PositiveProbability, _cols, fit_learner, logistic,
+    FEATURES, CopyColumns, Learner, NeighborVote, PositiveProbability, _cols, fit_learner, fit_logistic, logistic,
 )
 from stratascore.operators.resample import add_class_weight, smote
 from stratascore.operators.split import assign_folds
 from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage
-from stratascore.session import materialize
-
-ROWS_PER_TASK = 50_000
+from stratascore.session import FIT_PARTITIONS, laid_out, materialize, release
 
 
 @dataclass(frozen=True)
@@ -45,6 +42,7 @@ class StackSpec:
     threads: int = 4
     seed: int = 42
     base_threads: int = field(default=4)
+    partitions: int = FIT_PARTITIONS  # of every training table; part of the result, like the seed
 
 
 class Threshold(_Stage, Transformer):
@@ -59,11 +57,6 @@ class Threshold(_Stage, Transformer):
         return df.withColumn("prediction", (F.col("probability") >= self.get("threshold")).cast("int"))
 
 
-def right_sized(df: DataFrame, n: int) -> DataFrame:
-    """Few partitions for a small table, where task start-up costs more than the work."""
-    return df.coalesce(max(1, math.ceil(n / ROWS_PER_TASK)))
-
-
 def _run(jobs: Sequence, threads: int) -> list:
     if threads <= 1 or len(jobs) <= 1:
         return [job() for job in jobs]
@@ -90,16 +83,13 @@ def fit_core(train: DataFrame, features: Sequence[str], spec: StackSpec, key: st
         rows = rows.withColumn(key, F.concat_ws(":", F.col(key).cast("string"), F.col("draw").cast("string"))).drop("draw")
     assemble = VectorAssembler(inputCols=names, outputCol=FEATURES)
     head.append(assemble)
-    ready = add_class_weight(assemble.transform(rows).select(key, label, FEATURES), label).persist()
-    n = ready.count()
-    ready_small = right_sized(ready, n).persist() if n <= ROWS_PER_TASK else ready
+    ready = add_class_weight(assemble.transform(rows).select(key, label, FEATURES), label)
+    ready = laid_out(ready, [key], spec.partitions).persist()
     try:
-        jobs = [
-            lambda b=b: fit_learner(b, ready_small, len(names), n, key, label, seed=spec.seed) for b in spec.bases
-        ]
+        n = ready.count()
+        jobs = [lambda b=b: fit_learner(b, ready, len(names), n, key, label, seed=spec.seed) for b in spec.bases]
         stages = [s for found in _run(jobs, spec.base_threads) for s in found]
     finally:
-        ready_small.unpersist()
         ready.unpersist()
     return PipelineModel([*head, *stages, ColumnDropper([*names, FEATURES])])
 
@@ -113,20 +103,36 @@ def out_of_fold(train: DataFrame, features: Sequence[str], spec: StackSpec, key:
     """Every row scored once by base models that did not see its fold."""
     n_folds = sorted(r[0] for r in train.select(fold).distinct().collect())
 
+    models = []
+
     def one(j: int) -> DataFrame:
         model = fit_core(train.filter(F.col(fold) != j), features, spec, key, label)
+        models.append(model)
         return model.transform(train.filter(F.col(fold) == j)).select(key, label, fold, *base_columns(spec))
 
     parts = _run([lambda j=j: one(j) for j in n_folds], spec.threads)
-    return materialize(reduce(DataFrame.unionByName, parts), "oof")
+    scored = materialize(reduce(DataFrame.unionByName, parts), "oof")
+    for model in models:
+        forget(model)
+    return scored
+
 
+def forget(model: PipelineModel) -> None:
+    """Delete the scratch tables of a fitted model that is not needed any more."""
+    for stage in model.stages:
+        if isinstance(stage, PipelineModel):
+            forget(stage)
+        elif isinstance(stage, NeighborVote):
+            stage.forget()
 
-def fit_meta(oof: DataFrame, spec: StackSpec, label: str = "label") -> PipelineModel:
+
+def fit_meta(oof: DataFrame, spec: StackSpec, label: str = "label", key: str = "id") -> PipelineModel:
     assemble = VectorAssembler(inputCols=base_columns(spec), outputCol="_meta")
-    rows = add_class_weight(assemble.transform(oof).select(label, "_meta"), label).persist()
+    rows = add_class_weight(assemble.transform(oof).select(key, label, "_meta"), label)
+    rows = laid_out(rows, [key], spec.partitions).persist()
     try:
         lr = logistic(spec.meta_c, rows.count(), label, "_meta", "weight" if spec.meta_balanced else None, **_cols("meta"))
-        model = lr.fit(rows)
+        model = fit_logistic(lr, rows)
     finally:
         rows.unpersist()
     return PipelineModel([
@@ -150,22 +156,37 @@ def fit_stack(train: DataFrame, features: Sequence[str], spec: StackSpec, thresh
               key: str = "id", label: str = "label") -> PipelineModel:
     """One pipeline: bases refitted on all rows, the meta model on top, then the threshold."""
     rows = stack_table(train, features, spec, key, label)
-    jobs = [lambda: fit_meta(out_of_fold(rows, features, spec, key, label), spec, label),
-            lambda: fit_core(rows, features, spec, key, label)]
-    meta, core = _run(jobs, 2 if spec.threads > 1 else 1)
+
+    def meta_model() -> PipelineModel:
+        oof = out_of_fold(rows, features, spec, key, label)
+        try:
+            return fit_meta(oof, spec, label, key)
+        finally:
+            release(oof)
+
+    try:
+        meta, core = _run([meta_model, lambda: fit_core(rows, features, spec, key, label)], 2 if spec.threads > 1 else 1)
+    finally:
+        release(rows)
     return PipelineModel([core, meta, Threshold(threshold)])
 
 
 def nested_out_of_fold(train: DataFrame, features: Sequence[str], spec: StackSpec, folds: int, key: str = "id",
                        label: str = "label") -> DataFrame:
     """Probability of the whole stack for every row, from a stack that did not see the row."""
-    rows = materialize(train.select(key, label, *features), "outer")
-    rows = assign_folds(rows, folds, key, spec.seed, label if spec.stratified else None, "outer_fold")
+    outer = materialize(train.select(key, label, *features), "outer")
+    rows = assign_folds(outer, folds, key, spec.seed, label if spec.stratified else None, "outer_fold")
     inner = replace(spec, threads=1)
+    models = []
 
     def one(j: int) -> DataFrame:
         model = fit_stack(rows.filter(F.col("outer_fold") != j), features, inner, 0.5, key, label)
+        models.append(model)
         return model.transform(rows.filter(F.col("outer_fold") == j)).select(key, label, "outer_fold", "probability")
 
     parts = _run([lambda j=j: one(j) for j in range(folds)], spec.threads)
-    return materialize(reduce(DataFrame.unionByName, parts), "nested")
+    scored = materialize(reduce(DataFrame.unionByName, parts), "nested")
+    for model in models:
+        forget(model)
+    release(outer)
+    return scored

@@ -18,7 +18,8 @@ from stratascore.operators import schema
 from stratascore.operators.profile import collect_stats
 from stratascore.session import kept_between_passes
 
-LAMBDA_LIMIT = 20  # the likelihood is searched on -20..20
+FIRST_REACH = 4  # the search begins on -4..4 and doubles while the best lambda is an end point
+GRID = 8  # candidates on each side, and the factor from one grid to the next finer one
 
 
 class _Stage(Params, DefaultParamsReadable, DefaultParamsWritable):
@@ -153,7 +154,7 @@ class YeoJohnsonModel(_Stage, Transformer):
 
 
 class YeoJohnson(_Stage, Estimator):
-    """Lambda per column by maximum likelihood: a coarse grid, two finer ones, then a parabola.
+    """Lambda per column by maximum likelihood: a grid, finer ones around its best, then a parabola.
 
     One pass evaluates all columns and all their candidate lambdas: the rows are expanded inside
     the map stage and summed before the shuffle, which carries columns x candidates rows. Only the
@@ -169,11 +170,16 @@ class YeoJohnson(_Stage, Estimator):
     def _fit(self, df: DataFrame) -> YeoJohnsonModel:
         names = self.get("columns")
         with kept_between_passes(df.select(*[quoted(c).cast("double").alias(c) for c in names])) as rows:
-            grids = {c: [float(i) for i in range(-LAMBDA_LIMIT, LAMBDA_LIMIT + 1)] for c in names}
-            best = _peaks(rows, names, grids)
-            for step, reach in ((0.1, 10), (0.01, 5)):
-                grids = {c: [best[c] + i * step for i in range(-reach, reach + 1)] for c in names}
-                best = _peaks(rows, names, grids)
+            best, steps, reach, searched = {}, {}, FIRST_REACH, list(names)
+            while searched:
+                step = reach / GRID
+                best |= _peaks(rows, searched, {c: [i * step for i in range(-GRID, GRID + 1)] for c in searched})
+                steps |= dict.fromkeys(searched, step)
+                searched = [c for c in searched if abs(best[c]) >= reach]
+                reach *= 2  # overflow makes the likelihood undefined at the far end, which ends this too
+            while rough := [c for c in names if steps[c] > 0.01]:
+                steps |= {c: steps[c] / GRID for c in rough}
+                best |= _peaks(rows, rough, {c: [best[c] + i * steps[c] for i in range(-GRID, GRID + 1)] for c in rough})
             powered = YeoJohnsonModel(names, [best[c] for c in names], [0.0] * len(names), [1.0] * len(names))
             stats = collect_stats(powered.transform(rows), names)
         means = [stats[c]["mean"] or 0.0 for c in names]

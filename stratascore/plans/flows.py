@@ -19,15 +19,16 @@ from stratascore.operators.redundancy import redundant_features
 from stratascore.operators.reduce import PrincipalComponents, component_names
 from stratascore.operators.transform import ColumnDropper, YeoJohnson
 from stratascore.plans.recipes import FittedRecipe, Recipe, fit_recipe, load_recipe, save_recipe
-from stratascore.session import materialize
+from stratascore.session import materialize, release
 
 
 def fit_preparation(df: DataFrame, features: Sequence[str], eps: float = 1e-6, above: float = 0.95,
-                    keep: float = 0.95, max_components: int = 50) -> tuple[PipelineModel, list[str]]:
+                    keep: float = 0.95, max_components: int = 0) -> tuple[PipelineModel, list[str]]:
     """Drop flat and redundant columns, power transform and standardize, principal components.
 
     Returns the fitted pipeline (raw columns in, ``pc1..pck`` out) and the raw features that are
-    left after the drops.
+    left after the drops. All components that the share of variance needs are kept, unless
+    ``max_components`` says otherwise; ``feature_count_check`` reports their number.
     """
     stats = collect_stats(df, features)
     flat = [f for f in features if (stats[f]["var"] or 0.0) < eps]
@@ -41,6 +42,12 @@ def fit_preparation(df: DataFrame, features: Sequence[str], eps: float = 1e-6, a
     return PipelineModel([drop, power, reducer]), kept
 
 
+def feature_count_check(preparation: PipelineModel, n_rows: int, limit: int = 50) -> dict:
+    """Components kept, rows per component, and whether their number stays within the advised limit."""
+    n = len(preparation_components(preparation))
+    return {"n_components": n, "advised": limit, "within": n <= limit, "rows_per_component": n_rows / n}
+
+
 def preparation_components(preparation: PipelineModel) -> list[str]:
     return component_names(preparation.stages[-1])
 
@@ -78,6 +85,7 @@ def fit_segmentation(df: DataFrame, features: Sequence[str], k: int = 8, restart
     segments, report = G.fit_segments(staged, k, restarts, max_iter, vector="_pc")
     # by segment, so that each segment's trainer reads its own folder
     raw = materialize(segments.transform(staged).select("_row.*", "cluster"), "segmented", partition_by="cluster")
+    release(staged)
     stats = collect_stats(raw, features)
     live = [f for f in features if (stats[f]["var"] or 0.0) >= 1e-6]
     router = fit_router(raw, live)
@@ -107,19 +115,34 @@ class SegmentScorer:
         self.router, self.models = router, dict(models)
 
     def transform(self, df: DataFrame, key: str = "id") -> DataFrame:
-        """``(key, cluster, probability, prediction)``, one row per input row."""
+        """``(key, cluster, probability, prediction)``, one row per input row.
+
+        The result reads the routed copy; ``write`` deletes that copy when the rows are written.
+        """
+        return self._score(df, key)[0]
+
+    def write(self, df: DataFrame, path: str, key: str = "id") -> None:
+        """Score into ``path`` and leave nothing else behind."""
+        scored, staged = self._score(df, key)
+        scored.write.mode("overwrite").parquet(path)
+        release(staged)
+
+    def _score(self, df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
         used = sorted({f for m in self.models.values() for f in m.features})
-        routed = route(df, self.router).select(key, "cluster", *[F.col("`" + f + "`") for f in used])
-        staged = materialize(routed, "routed", partition_by="cluster")
+        # a row with a missing feature has no route and no score, but it keeps its place
+        inputs = sorted({*used, *self.router.stages[0].get("columns")})
+        whole = reduce(lambda a, b: a & b, [F.col("`" + f + "`").cast("double").isNotNull() for f in inputs])
+        routed = route(df.filter(whole), self.router).select(key, "cluster", *[F.col("`" + f + "`") for f in used])
+        missing = df.filter(~whole).select(key, F.lit(None).cast("int").alias("cluster"), *[F.col("`" + f + "`") for f in used])
+        staged = materialize(routed.unionByName(missing), "routed", partition_by="cluster")
         parts = []
         for number, model in sorted(self.models.items()):
             mine = staged.filter(F.col("cluster") == number)
-            scored = model.transform(mine).select(key, "cluster", "probability", "prediction")
-            parts.append(scored)
-        others = staged.filter(~F.col("cluster").isin(list(self.models)))
+            parts.append(model.transform(mine).select(key, "cluster", "probability", "prediction"))
+        others = staged.filter(F.col("cluster").isNull() | ~F.col("cluster").isin(list(self.models)))
         parts.append(others.select(  # a segment without a model keeps its rows, unflagged and visible
             key, "cluster", F.lit(None).cast("double").alias("probability"), F.lit(None).cast("int").alias("prediction")))
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, parts), staged
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.router.write().overwrite().save(f"{path}/router")

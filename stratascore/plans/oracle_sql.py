@@ -39,6 +39,8 @@ docs AS (
   FROM documents d JOIN labels b ON b.doc_id = d.doc_id
 )"""
 
+ALL_DOCUMENT = DOCUMENT.replace("JOIN labels", "LEFT JOIN labels")  # documents without a label too
+
 EMBEDDING = """
 emb AS (
   SELECT vec_id AS id, CAST(label AS INTEGER) AS cluster,
@@ -70,8 +72,10 @@ def long_cte(table: str, features: list[str] | None = None) -> str:
     return f"{table}_long AS (\n  {arms}\n)"
 
 
-def with_long(table: str, features: list[str] | None = None) -> str:
+def with_long(table: str, features: list[str] | None = None, unlabelled: bool = False) -> str:
     """``WITH <table>, <table>_long``."""
+    if unlabelled:
+        return f"WITH {ALL_DOCUMENT}, {long_cte(table, features)}"
     if table == "emb":
         return f"WITH {EMBEDDING}, {EMBEDDING_LONG}"
     return f"WITH {TABLES[table][0]}, {long_cte(table, features)}"

@@ -115,16 +115,10 @@ def enough_mixed(spark, folder):
 SELECT emb.id, CAST(CASE WHEN comp.n_pos = 0 THEN 0 WHEN comp.n_neg = 0 THEN 1 END AS INTEGER) AS prediction
 FROM emb JOIN comp ON comp.cluster = emb.cluster WHERE comp.n_pos = 0 OR comp.n_neg = 0""")
 def constant_predictor(spark, folder):
-    from stratascore.operators.models import ConstantModel
+    from stratascore.operators.models import constant_predictions
 
     df = embedding_features(spark, folder)
-    kinds = G.segment_kind(G.segment_composition(df)).filter("constant is not null").collect()
-    out = None
-    for row in kinds:  # one branch per one-class segment, each a filter on the same scan
-        part = ConstantModel(row["constant"]).transform(df.filter(F.col("cluster") == row["cluster"]))
-        part = part.select("id", "prediction")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return constant_predictions(df, G.segment_kind(G.segment_composition(df))).select("id", "prediction")
 
 
 PROFILE = f"""{with_long('emb')}, o AS (
@@ -199,9 +193,17 @@ def segment_export(spark, folder):
     return spark.read.schema(df.schema).parquet(path)
 
 
-@query("segment_export_csv", f"{ROUTED} SELECT id, label, n_lines, cluster FROM routed WHERE cluster = 2")
+@query("segment_export_csv", f"{ROUTED} SELECT id, label, n_lines, cluster FROM routed")
 def segment_export_csv(spark, folder):
-    """Same as CSV; reading one segment prunes the folders of the others."""
+    """Same as CSV, all folders read back."""
+    df = routed_customers(spark, folder).select("id", "label", "n_lines", "cluster")
+    path = write_segments(df, scratch_path(spark, "segments-csv"), fmt="csv")
+    return spark.read.schema(df.schema).option("header", True).csv(path)
+
+
+@query("segment_export_pruned", f"{ROUTED} SELECT id, label, n_lines, cluster FROM routed WHERE cluster = 2")
+def segment_export_pruned(spark, folder):
+    """Reading one segment prunes the folders of the others."""
     df = routed_customers(spark, folder).select("id", "label", "n_lines", "cluster")
     path = write_segments(df, scratch_path(spark, "segments-csv"), fmt="csv")
     return spark.read.schema(df.schema).option("header", True).csv(path).filter(F.col("cluster") == 2)

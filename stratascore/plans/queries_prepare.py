@@ -8,7 +8,7 @@ from stratascore.operators import redundancy as R
 from stratascore.operators import split as B
 from stratascore.operators import transform as T
 from stratascore.operators.profile import feature_stats
-from stratascore.plans.oracle_sql import CUSTOMER, DOCUMENT, EMBEDDING, hash_u32, with_long
+from stratascore.plans.oracle_sql import ALL_DOCUMENT, CUSTOMER, DOCUMENT, EMBEDDING, hash_u32, with_long
 from stratascore.plans.queries_profile import r
 from stratascore.plans.registry import query
 from stratascore.session import materialize
@@ -18,7 +18,7 @@ from stratascore.sources.features import (
 )
 
 LONG_CUST = with_long("cust")
-LONG_DOCS = with_long("docs")
+LONG_DOCS = with_long("docs", unlabelled=True)
 LONG_EMB = with_long("emb")
 
 
@@ -119,11 +119,11 @@ def yj_sql(x: str, lam: str) -> str:
             f"ELSE CASE WHEN abs({lam} - 2) < 1e-12 THEN -ln(1 - {x}) ELSE -(pow(1 - {x}, 2 - {lam}) - 1) / (2 - {lam}) END END")
 
 
-@query("yeo_johnson_fixed", f"""WITH {DOCUMENT}, c AS (SELECT id, {', '.join(f'CAST({f} AS DOUBLE) - 20 AS {f}' for f in DOCUMENT_FEATURES)} FROM docs)
+@query("yeo_johnson_fixed", f"""WITH {ALL_DOCUMENT}, c AS (SELECT id, {', '.join(f'CAST({f} AS DOUBLE) - 20 AS {f}' for f in DOCUMENT_FEATURES)} FROM docs)
 SELECT id, {', '.join(f"round({yj_sql(f, f'{lam}e0')}, 4) AS {f}" for f, lam in FIXED_LAMBDAS.items())} FROM c""")
 def yeo_johnson_fixed(spark, folder):
     """Counts moved down by 20, so that both branches of the transform are used."""
-    df = document_features(spark, folder).select(
+    df = document_features(spark, folder, labelled=False).select(
         "id", *[(F.col(f).cast("double") - 20).alias(f) for f in DOCUMENT_FEATURES])
     model = T.YeoJohnsonModel(list(FIXED_LAMBDAS), list(FIXED_LAMBDAS.values()), [0.0] * 6, [1.0] * 6)
     return model.transform(df).select("id", *[r(f) for f in DOCUMENT_FEATURES])
@@ -139,17 +139,26 @@ k AS (SELECT feature, lam, -n / 2e0 * ln(v) + (lam - 1) * j AS loglik FROM s WHE
 SELECT feature, lam, round(loglik, 4) AS loglik FROM k
 QUALIFY row_number() OVER (PARTITION BY feature ORDER BY loglik DESC) = 1""")
 def yeo_johnson_fit(spark, folder):
-    scores = T.power_likelihood(document_features(spark, folder), DOCUMENT_FEATURES, dict.fromkeys(DOCUMENT_FEATURES, GRID))
+    scores = T.power_likelihood(document_features(spark, folder, labelled=False), DOCUMENT_FEATURES, dict.fromkeys(DOCUMENT_FEATURES, GRID))
     best = scores.groupBy("feature").agg(F.max_by("lam", "loglik").alias("lam"), F.max("loglik").alias("loglik"))
     return best.select("feature", "lam", r("loglik"))
 
 
-@query("yeo_johnson_refined")
+@query("yeo_johnson_refined", "SELECT feature, true AS at_peak, true AS standard FROM (VALUES " + ", ".join(f"('{f}')" for f in DOCUMENT_FEATURES)
+       + ") t(feature) WHERE (SELECT count(*) FROM documents) > 0")
 def yeo_johnson_refined(spark, folder):
-    """Fitted lambda, mean and deviation per feature, lambda to four places."""
-    m = T.YeoJohnson(DOCUMENT_FEATURES).fit(document_features(spark, folder))
-    rows = list(zip(m.get("columns"), m.get("lambdas"), m.get("means"), m.get("scales")))
-    return spark.createDataFrame(rows, "feature string, lam double, mean double, scale double")
+    """The fitted lambda of each feature is a peak of the likelihood, and the output has mean 0 and variance 1."""
+    df = document_features(spark, folder, labelled=False)
+    m = T.YeoJohnson(DOCUMENT_FEATURES).fit(df)
+    best = dict(zip(m.get("columns"), m.get("lambdas")))
+    near = T.power_likelihood(df, DOCUMENT_FEATURES, {f: [v - 0.01, v, v + 0.01] for f, v in best.items()}).collect()
+    stats = {x["feature"]: x for x in feature_stats(m.transform(df), DOCUMENT_FEATURES).collect()}
+    out = []
+    for f, v in best.items():
+        own = {round((x["lam"] - v) / 0.01): x["loglik"] for x in near if x["feature"] == f}
+        x = stats[f]
+        out.append((f, own[0] >= max(own.values()) - 1e-6, abs(x["mean"]) < 1e-6 and abs(x["var_pop"] - 1) < 1e-6))
+    return spark.createDataFrame(out, "feature string, at_peak boolean, standard boolean")
 
 
 # ---- folds and samples -------------------------------------------------------------------------
@@ -171,6 +180,28 @@ def stratified_fold_sizes(spark, folder):
     return folds.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("unshuffled_folds", f"""WITH {CUSTOMER}
+SELECT id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY id) - 1) % 6 AS INTEGER) AS fold FROM cust""")
+def unshuffled_folds(spark, folder):
+    return B.assign_folds_in_order(customer_features(spark, folder).select("id", "label"), 6)
+
+
+@query("correlation_with_missing", """WITH long AS (
+  SELECT event_id AS id, user_id::DOUBLE AS a, nullif(user_id % 7, 0)::DOUBLE AS b, CASE WHEN event_id % 3 <> 0 THEN (event_id % 101)::DOUBLE END AS c
+  FROM events)
+SELECT * FROM (
+  SELECT 'a' AS feature_a, 'b' AS feature_b, round(corr(a, b), 6) AS r FROM long WHERE b IS NOT NULL
+  UNION ALL SELECT 'a', 'c', round(corr(a, c), 6) FROM long WHERE c IS NOT NULL
+  UNION ALL SELECT 'b', 'c', round(corr(b, c), 6) FROM long WHERE b IS NOT NULL AND c IS NOT NULL)""")
+def correlation_with_missing(spark, folder):
+    """Numbers of the events with missing values: each pair over the rows in which both are there."""
+    ev = spark.read.parquet(f"{folder}/events.parquet")
+    b = F.col("user_id") % 7
+    df = ev.select(F.col("user_id").cast("double").alias("a"), F.when(b != 0, b.cast("double")).alias("b"),
+                   F.when(F.col("event_id") % 3 != 0, (F.col("event_id") % 101).cast("double")).alias("c"))
+    return R.correlation_pairs(df, ["a", "b", "c"]).select("feature_a", "feature_b", r("r", 6))
+
+
 @query("kfold", f"WITH {EMBEDDING} SELECT id, {fold_sql(2, '')} FROM emb")
 def kfold(spark, folder):
     return B.assign_folds(embedding_features(spark, folder).select("id"), 2, by=None)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratascore.operators import profile as P
 from stratascore.operators import schema as S
 from stratascore.operators.ranking import mann_whitney
-from stratascore.plans.oracle_sql import CUSTOMER, DOCUMENT, EMBEDDING, with_long
+from stratascore.plans.oracle_sql import ALL_DOCUMENT, CUSTOMER, DOCUMENT, EMBEDDING, with_long
 from stratascore.plans.registry import query
 from stratascore.session import scratch_path
 from stratascore.sources.features import (
@@ -45,9 +45,9 @@ def scan_features(spark, folder):
     return df.select("id", "label", "grp", *show_customers(df))
 
 
-@query("scan_documents", f"WITH {DOCUMENT} SELECT id, label, grp, {', '.join(DOCUMENT_FEATURES)} FROM docs")
+@query("scan_documents", f"WITH {ALL_DOCUMENT} SELECT id, label, grp, {', '.join(DOCUMENT_FEATURES)} FROM docs")
 def scan_documents(spark, folder):
-    return document_features(spark, folder)
+    return document_features(spark, folder, labelled=False)
 
 
 @query("scan_embeddings", f"""WITH {EMBEDDING} SELECT id, cluster, label,
@@ -56,15 +56,15 @@ def scan_embeddings(spark, folder):
     return embedding_features(spark, folder).select("id", "cluster", "label", *[r(f, 6) for f in EMBEDDING_FEATURES])
 
 
-@query("csv_roundtrip", f"""WITH {DOCUMENT} SELECT id, label, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in DOCUMENT_FEATURES)} FROM docs""")
+@query("csv_roundtrip", f"""WITH {ALL_DOCUMENT} SELECT id, label, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in DOCUMENT_FEATURES)} FROM docs""")
 def csv_roundtrip(spark, folder):
-    path = write_csv(document_features(spark, folder).drop("grp"), scratch_path(spark, "csv"))
+    path = write_csv(document_features(spark, folder, labelled=False).drop("grp"), scratch_path(spark, "csv"))
     return read_csv(spark, path, wide_schema(DOCUMENT_FEATURES))
 
 
-@query("clean_columns", f"WITH {DOCUMENT} SELECT id, label, n_chars, n_digit FROM docs")
+@query("clean_columns", f"WITH {ALL_DOCUMENT} SELECT id, label, n_chars, n_digit FROM docs")
 def clean_columns(spark, folder):
-    df = document_features(spark, folder).select("id", "label", "n_chars", "n_digit")
+    df = document_features(spark, folder, labelled=False).select("id", "label", "n_chars", "n_digit")
     return S.clean_columns(df.toDF(" id", "label ", "  n_chars ", "n_digit"))
 
 
@@ -118,6 +118,7 @@ def table_types(spark, folder):
 
 LONG_CUST = with_long("cust")
 LONG_DOCS = with_long("docs")
+LONG_ALL_DOCS = with_long("docs", unlabelled=True)
 
 
 @query("describe_features", f"""{LONG_CUST}
@@ -175,11 +176,11 @@ def constant_or_null_columns(spark, folder):
     return P.constant_columns(event_numbers(spark, folder), EVENT_FIELDS, include_all_null=True)
 
 
-@query("duplicate_rows", f"""WITH {DOCUMENT}, g AS (
+@query("duplicate_rows", f"""WITH {ALL_DOCUMENT}, g AS (
   SELECT count(*) AS copies FROM docs GROUP BY label, grp, {', '.join(DOCUMENT_FEATURES)})
 SELECT CAST(sum(copies) AS BIGINT) AS n_rows, CAST(sum(copies - 1) AS BIGINT) AS n_duplicates FROM g""")
 def duplicate_rows(spark, folder):
-    return P.duplicate_rows(document_features(spark, folder), ["label", "grp", *DOCUMENT_FEATURES])
+    return P.duplicate_rows(document_features(spark, folder, labelled=False), ["label", "grp", *DOCUMENT_FEATURES])
 
 
 @query("class_distribution", f"""WITH {CUSTOMER}, c AS (SELECT label, count(*) AS n FROM cust GROUP BY label)
@@ -240,20 +241,20 @@ def finite_check(spark, folder):
     return P.finite_check(event_numbers(spark, folder), EVENT_FIELDS)
 
 
-@query("skew_profile", f"""{LONG_DOCS}, s AS (
+@query("skew_profile", f"""{LONG_ALL_DOCS}, s AS (
   SELECT feature, skewness(value) AS skew, kurtosis(value) AS kurtosis FROM docs_long GROUP BY feature)
 SELECT feature, round(skew, 6) AS skew, round(kurtosis, 6) AS kurtosis, round(abs(skew), 6) AS abs_skew,
   CASE WHEN abs(skew) > 3 THEN 'heavy' WHEN abs(skew) > 1 THEN 'moderate' ELSE 'near_normal' END AS band FROM s""")
 def skew_profile(spark, folder):
-    out = P.skew_profile(document_features(spark, folder), DOCUMENT_FEATURES)
+    out = P.skew_profile(document_features(spark, folder, labelled=False), DOCUMENT_FEATURES)
     return out.select("feature", r("skew", 6), r("kurtosis", 6), r("abs_skew", 6), "band")
 
 
-@query("skew_bands", f"""{LONG_DOCS}, s AS (SELECT feature, abs(skewness(value)) AS a FROM docs_long GROUP BY feature)
+@query("skew_bands", f"""{LONG_ALL_DOCS}, s AS (SELECT feature, abs(skewness(value)) AS a FROM docs_long GROUP BY feature)
 SELECT CASE WHEN a > 3 THEN 'heavy' WHEN a > 1 THEN 'moderate' ELSE 'near_normal' END AS band, count(*) AS n_features
 FROM s GROUP BY 1""")
 def skew_bands(spark, folder):
-    return P.skew_bands(P.skew_profile(document_features(spark, folder), DOCUMENT_FEATURES))
+    return P.skew_bands(P.skew_profile(document_features(spark, folder, labelled=False), DOCUMENT_FEATURES))
 
 
 @query("top_k_features", f"""{with_long("emb")}
@@ -297,11 +298,36 @@ z AS (SELECT feature, rs - n0 * (n0 + 1) / 2 AS u, n0, n1, n, sqrt(n0 * n1 / 12
 mw AS (SELECT feature, u, CASE WHEN sd > 0 THEN greatest((greatest(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5) / sd, 0) END AS z FROM z)"""
 
 
+# the normal distribution function by its power series, good to 1e-7 up to z = 6 and nothing to speak of beyond
+P_SQL = """CASE WHEN z IS NULL THEN 1e0 WHEN z > 6 THEN 0e0 ELSE greatest(1 - 2 / sqrt(2 * pi()) * list_sum(list_transform(range(0, 100),
+  lambda k: (CASE WHEN k % 2 = 0 THEN 1e0 ELSE -1e0 END) * pow(z, 2 * k + 1) / (pow(2e0, k) * gamma(k + 1) * (2 * k + 1)))), 0e0) END"""
+
+
 @query("mann_whitney", f"""{LONG_DOCS}, {MW_SQL.format(t='docs')}
-SELECT feature, round(u, 4) AS u, round(z, 6) AS z FROM mw""")
+SELECT feature, round(u, 4) AS u, round(z, 6) AS z, round({P_SQL}, 5) AS p_value FROM mw""")
 def mann_whitney_u(spark, folder):
     out = mann_whitney(document_features(spark, folder), DOCUMENT_FEATURES)
-    return out.select("feature", r("u"), r("z", 6))
+    return out.select("feature", r("u"), r("z", 6), r("p_value", 5))
+
+
+@query("exact_mann_whitney", """WITH cust AS (SELECT c_nationkey AS k, avg(c_acctbal) AS v FROM customer GROUP BY 1),
+supp AS (SELECT n_nationkey AS k, n_regionkey = 0 AS pos FROM nation),
+ranked AS (SELECT pos, rank() OVER (ORDER BY v) AS rk FROM supp JOIN cust USING (k)),
+n AS (SELECT (count(*) FILTER (NOT pos))::DOUBLE AS n0, (count(*) FILTER (pos))::DOUBLE AS n1,
+  sum(rk) FILTER (NOT pos) - (count(*) FILTER (NOT pos)) * ((count(*) FILTER (NOT pos)) + 1) / 2 AS u FROM ranked),
+sums AS (SELECT a.rk + b.rk + c.rk + d.rk + e.rk AS rs FROM ranked a JOIN ranked b ON a.rk < b.rk JOIN ranked c ON b.rk < c.rk
+  JOIN ranked d ON c.rk < d.rk JOIN ranked e ON d.rk < e.rk)
+SELECT 'balance' AS feature, u::DOUBLE AS u, true AS exact,
+  round(least(1, 2 * (SELECT avg((rs - 15 >= greatest(u, n0 * n1 - u))::INT) FROM sums)), 9) AS p_value FROM n""")
+def exact_mann_whitney(spark, folder):
+    """Mean balance of a nation's customers, the five nations of one region against the others."""
+    from stratascore.operators.ranking import mann_whitney_exact
+    from stratascore.sources.tables import read_table
+
+    balance = read_table(spark, folder, "customer").groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("balance"))
+    nations = read_table(spark, folder, "nation").join(balance, F.col("n_nationkey") == F.col("c_nationkey"))
+    df = nations.select((F.col("n_regionkey") == 0).cast("int").alias("label"), "balance")
+    return mann_whitney_exact(df, ["balance"]).select("feature", "u", "exact", r("p_value", 9))
 
 
 # p < 0.05 / 64 two-sided is the same test as z > 3.359354, the normal quantile at 1 - 0.05 / 128

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -16,9 +16,10 @@ from stratascore.operators.reduce import PrincipalComponents, component_names, l
 from stratascore.operators.schema import select_features
 from stratascore.operators.stack import StackSpec, fit_stack, nested_out_of_fold
 from stratascore.operators.transform import ColumnDropper, MinMaxSelected, VarianceFilter
-from stratascore.session import materialize
+from stratascore.session import materialize, release
 
-# The columns chosen by hand for three segments of the company table.
+# The columns chosen by hand for three segments of the company table, and in ``_reference``
+# the published sizes, folds, strengths and thresholds of each segment's recipe.
 C0_COLUMNS = [
     "Tax rate (A)",
     "Cash Flow to Liability",
@@ -108,31 +109,9 @@ def _reference() -> dict[str, Recipe]:
     }
 
 
-def _small(learner: Learner) -> Learner:
-    cut = {"trees": 20, "steps": 10, "size": 64, "platt_folds": 2, "max_iter": 15}
-    params = dict(learner.params)
-    if learner.kind == "rf":
-        params.update(trees=min(params["trees"], cut["trees"]), depth=min(params["depth"] or 5, 5))
-    elif learner.kind == "gbt":
-        params.update(steps=min(params["steps"], cut["steps"]), depth=min(params["depth"], 3))
-    elif learner.kind in ("rbf_svc", "poly_svc"):
-        params.update(size=cut["size"], platt_folds=cut["platt_folds"], max_iter=cut["max_iter"])
-    return replace(learner, params=params)
-
-
-def recipes(profile: str = "reference") -> dict[str, Recipe]:
-    """``reference`` has the full sizes; ``smoke`` has fewer trees, steps and folds, the same stages."""
-    table = _reference()
-    if profile == "reference":
-        return table
-    if profile != "smoke":
-        raise ValueError(f"unknown profile {profile}")
-    return {
-        name: r if r.stack is None else replace(
-            r, outer_folds=2,
-            stack=replace(r.stack, folds=min(r.stack.folds, 2), bases=tuple(_small(b) for b in r.stack.bases)))
-        for name, r in table.items()
-    }
+def recipes() -> dict[str, Recipe]:
+    """The eight recipes at their published sizes."""
+    return _reference()
 
 
 @dataclass
@@ -147,6 +126,9 @@ class FittedRecipe:
     n_pos: int
     note: str = ""
     constant: int | None = None
+    n_inputs: int = 0  # columns the stack reads after the preparation
+    folds: int = 0
+    partitions: int = 0  # layout of the fits, part of the result like a seed
     extra: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -164,11 +146,12 @@ class FittedRecipe:
         return self.transform(df).select(key, "probability", "prediction")
 
     def facts(self) -> tuple:
-        return (self.name, self.features, self.threshold, self.n_train, self.n_pos, self.note, self.constant)
+        return (self.name, self.features, self.threshold, self.n_train, self.n_pos, self.note, self.constant,
+                self.n_inputs, self.folds, self.partitions)
 
 
 FACTS = ("name string, features array<string>, threshold double, n_train bigint, n_pos bigint, "
-         "note string, constant int")
+         "note string, constant int, n_inputs int, folds int, partitions int")
 
 
 def metadata(spark, fitted: Sequence[FittedRecipe]) -> DataFrame:
@@ -186,8 +169,8 @@ def prepare(recipe: Recipe, df: DataFrame, features: Sequence[str], key: str = "
         names = [f for f in names if f not in constant]
     rows = select_features(df, names, keep=(key, label))
     if recipe.l1_c:
-        chosen = [f for f, _ in l1_select(rows, names, recipe.l1_c, label)]
-        names = chosen or names  # a penalty that drops everything selects nothing
+        names = [f for f, _ in l1_select(rows, names, recipe.l1_c, label)]
+        _not_empty(recipe, names, f"the L1 penalty at c = {recipe.l1_c}")
         rows = select_features(rows, names, keep=(key, label))
     used, stages = list(names), []
     if recipe.minmax:
@@ -196,18 +179,25 @@ def prepare(recipe: Recipe, df: DataFrame, features: Sequence[str], key: str = "
     if recipe.variance_above is not None:
         dropper: ColumnDropper = VarianceFilter(names, recipe.variance_above).fit(rows)
         gone = set(dropper.get("columns"))
-        if len(gone) < len(names):
-            stages.append(dropper)
-            rows = dropper.transform(rows)
-            names = [f for f in names if f not in gone]
+        names = [f for f in names if f not in gone]
+        _not_empty(recipe, names, f"the variance filter at {recipe.variance_above}")
+        stages.append(dropper)
+        rows = dropper.transform(rows)
     if recipe.components:
-        reducer = PrincipalComponents(names, k=min(recipe.components, len(names))).fit(rows)
+        if recipe.components > len(names):
+            raise ValueError(f"recipe {recipe.name} wants {recipe.components} components of {len(names)} columns")
+        reducer = PrincipalComponents(names, k=recipe.components).fit(rows)
         stages.append(reducer)
         rows = reducer.transform(rows)
         names = component_names(reducer)
     return stages, rows, used, names
 
 
+def _not_empty(recipe: Recipe, names: Sequence[str], stage: str) -> None:
+    if not names:
+        raise ValueError(f"recipe {recipe.name}: {stage} leaves no column; choose another setting for this table")
+
+
 def fit_recipe(recipe: Recipe, df: DataFrame, features: Sequence[str], key: str = "id",
                label: str = "label") -> FittedRecipe:
     """Prepare, stack, pick the threshold under the flag cap, refit on all rows."""
@@ -223,11 +213,17 @@ def fit_recipe(recipe: Recipe, df: DataFrame, features: Sequence[str], key: str
     threshold, extra = recipe.threshold, {}
     if recipe.sweep:
         oof = nested_out_of_fold(rows, names, recipe.stack, recipe.outer_folds, key, label)
+        folds = evaluate.outer_fold_report(oof, label=label)
+        extra["outer_folds"] = [tuple(r) for r in folds.collect()]  # one row per fold
         sweep = evaluate.threshold_sweep(oof, evaluate.percent_steps(*recipe.sweep), label=label)
         picked = evaluate.threshold_pick(sweep, recipe.flag_cap).head()
-        threshold, extra = picked["threshold"], {"oof_recall": picked["recall"]}
+        threshold = picked["threshold"]
+        extra["oof_recall"] = picked["recall"]
+        release(oof)
     stack = fit_stack(rows, names, recipe.stack, threshold, key, label)
-    return FittedRecipe(recipe.name, PipelineModel([*stages, stack]), used, threshold, n, n_pos, recipe.note, None, extra)
+    release(train)
+    return FittedRecipe(recipe.name, PipelineModel([*stages, stack]), used, threshold, n, n_pos, recipe.note, None,
+                        len(names), recipe.stack.folds, recipe.stack.partitions, extra)
 
 
 def save_recipe(fitted: FittedRecipe, spark, path: str) -> None:
@@ -241,4 +237,4 @@ def load_recipe(spark, path: str) -> FittedRecipe:
     row = spark.read.schema(FACTS).json(f"{path}/facts").head()
     model = PipelineModel.load(f"{path}/model") if row["constant"] is None else None
     return FittedRecipe(row["name"], model, list(row["features"] or []), row["threshold"], row["n_train"],
-                        row["n_pos"], row["note"], row["constant"])
+                        row["n_pos"], row["note"], row["constant"], row["n_inputs"], row["folds"], row["partitions"])

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
-import math
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(app: str = "stratascore", cpus: int | str = "*", memory: str = "12g") -> SparkSession:
-    """A local session for tests and the bench; on a cluster the submitter builds its own."""
+def build_session(app: str = "stratascore", cpus: int | str = "*", memory: str = "12g", scratch: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; on a cluster the submitter builds its own.
+
+    ``scratch`` is the shared folder for intermediate tables.
+    """
+    builder = SparkSession.builder if scratch is None else SparkSession.builder.config(CHECKPOINT_CONF, scratch)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
@@ -38,14 +45,15 @@ def build_session(app: str = "stratascore", cpus: int | str = "*", memory: str =
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster the executors would each
-    write to their own disk and the data would go with the machine.
+    Where it is unset, only a local master gets a folder of its own, which goes when Python ends: on a
+    cluster the executors would each write to their own disk and the data would go with the machine.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stratascore-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, root)
     return root
 
@@ -66,25 +74,57 @@ def materialize(df, name: str, partition_by: str | None = None):
     return spark.read.schema(df.schema).parquet(path)
 
 
-SMALL_TABLE = 1_000_000
-ROWS_PER_CORE = 500
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folder_of(table: DataFrame) -> str:
+    """The scratch folder behind a table from ``materialize``."""
+    root = scratch_root(table.sparkSession).split(":", 1)[-1].rstrip("/")
+    parts = [f.split(":", 1)[-1] for f in table.inputFiles()]
+    inside = {re.sub("^/+", "/", f).removeprefix(re.sub("^/+", "/", root)).lstrip("/").split("/")[0] for f in parts}
+    if len(inside) != 1:
+        raise ValueError("not one scratch table")
+    return f"{scratch_root(table.sparkSession)}/{inside.pop()}"
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables from ``materialize`` once all that reads them has run."""
+    for table in tables:
+        if table.inputFiles():
+            drop_path(table.sparkSession, folder_of(table))
 
 
 @contextmanager
 def kept_between_passes(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a narrow table for a fit that reads it several times; lost blocks are recomputed.
+    """Keep a narrow table for aggregates that read it several times; lost blocks are recomputed.
 
-    A table below a million rows tends to sit in one partition; it is spread over the cores.
+    A table in fewer partitions than the session works at once is spread. For sums and counts alone:
+    what depends on the order of rows takes ``laid_out``.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     spread = None
     try:
-        n = kept.count()
-        if n <= SMALL_TABLE:
-            cores = df.sparkSession.sparkContext.defaultParallelism
-            spread = kept.repartition(max(1, min(cores, math.ceil(n / ROWS_PER_CORE)))).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.count()
+        wanted = df.sparkSession.sparkContext.defaultParallelism
+        if kept.rdd.getNumPartitions() < wanted:
+            spread = kept.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
         yield kept if spread is None else spread
     finally:
         if spread is not None:
             spread.unpersist()
         kept.unpersist()
+
+
+FIT_PARTITIONS = 4  # documented parameter of every seeded fit; raise it for large tables
+
+
+def laid_out(df: DataFrame, by: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """``df`` in ``partitions`` hash partitions by the columns, sorted by them inside.
+
+    Seeded fits draw by partition and position. In this layout the draw depends on the rows and on
+    ``partitions``, not on how the table came or on the number of cores.
+    """
+    return df.repartition(partitions, *[F.xxhash64(c) for c in by]).sortWithinPartitions(*by)

@@ -73,8 +73,8 @@ def customer_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def document_features(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per labelled document: character-class counts over the whole text.
+def document_features(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
+    """Character-class counts over the whole text: one row per labelled document, or per document with a null label.
 
     The counts are taken below the join, so the shuffle carries six numbers per document, not texts.
     """
@@ -94,7 +94,7 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
         count_of("\n").alias("n_nl"),
     )
     labels = read_table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
-    return documents.join(labels, "doc_id").select(
+    return documents.join(labels, "doc_id", "inner" if labelled else "left").select(
         F.col("doc_id").alias("id"), F.col("label").cast("int").alias("label"), "grp", *DOCUMENT_FEATURES
     )
 

@@ -31,7 +31,7 @@ def score_stream(rows: DataFrame, scorer: SegmentScorer, path: str, checkpoint:
     """Score every micro-batch into its own folder; a replayed batch overwrites itself."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        scorer.transform(batch, key).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+        scorer.write(batch, f"{path}/batch={epoch}", key)
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -53,6 +53,8 @@ def test_l1_keeps_fewer_with_a_stronger_penalty(wide):
     M.Learner("knn", "knn", {"k": 3}),
 ])
 def test_learners_rank_positives_above_negatives(wide, learner):
+    if learner.kind == "poly_svc":  # it sees products only, so give it a label of products
+        wide = wide.withColumn("label", (F.col("a") * F.col("b") > -4).cast("int"))
     core = S.fit_core(wide, NAMES, S.StackSpec((learner,)))
     out = core.transform(wide)
     assert out.columns == [*wide.columns, f"p_{learner.name}"]
@@ -61,11 +63,29 @@ def test_learners_rank_positives_above_negatives(wide, learner):
     assert out.filter(F.col(f"p_{learner.name}").isNull()).count() == 0
 
 
-def test_large_neighbour_set_is_joined_not_carried(spark, wide, monkeypatch):
-    small = S.fit_core(wide, NAMES, S.StackSpec((ONE_NN,))).transform(wide).select("id", "p_knn")
-    monkeypatch.setattr(M, "LOCAL_POINTS", 0)
-    large = S.fit_core(wide, NAMES, S.StackSpec((ONE_NN,))).transform(wide).select("id", "p_knn")
-    assert small.exceptAll(large).count() == 0 and large.count() == 400
+@pytest.mark.parametrize("limit", [0, 8 << 20])
+@pytest.mark.parametrize("name", ["c4", "c6"])
+def test_neighbour_recipes_on_both_paths(spark, wide, monkeypatch, name, limit):
+    """Fit, score, save and load with the point table joined or broadcast; string and bigint keys mixed."""
+    from stratascore.operators import neighbors
+
+    monkeypatch.setattr(neighbors, "BROADCAST_BYTES", limit)
+    bases = (ONE_NN, replace(ONE_NN, name="knn3", params={"k": 3}), LR)
+    recipe = recipes()[name]
+    recipe = replace(recipe, columns=("a", "b"), stack=replace(recipe.stack, bases=bases))  # c4 resamples first: string keys
+    fitted = fit_recipe(recipe, wide, NAMES)
+    first = fitted.score(wide)
+    path = session.scratch_path(spark, "neighbours")
+    save_recipe(fitted, spark, path)
+    S.forget(fitted.model)  # the saved model has its own points
+    second = load_recipe(spark, path).score(wide)
+    assert first.dtypes[0] == ("id", "bigint") and second.count() == 400
+    key = (name, "rows")
+    rows = sorted(tuple(r) for r in second.collect())
+    assert SEEN.setdefault(key, rows) == rows
+
+
+SEEN: dict = {}
 
 
 def test_out_of_fold_never_sees_its_own_row(spark):
@@ -98,7 +118,7 @@ def test_smote_first_puts_synthetic_rows_into_the_folds(spark, wide):
 
 
 def test_one_class_segment_becomes_a_constant(wide):
-    recipe = recipes("smoke")["c6"]
+    recipe = recipes()["c6"]
     zero = fit_recipe(recipe, wide.filter("label = 0"), NAMES)
     one = fit_recipe(recipe, wide.filter("label = 1"), NAMES)
     assert (zero.constant, one.constant) == (0, 1)
