@@ -32,6 +32,7 @@ PROBES = 64
 TARGET = 0.96
 GROUP_ROWS = 32_768  # rows of neighbouring leaves that one unit of work compares
 UNIT_QUERIES = 1_024
+WALKS_PER_TASK = 256
 STRIP = 64
 
 
@@ -223,8 +224,10 @@ def nearest_vectors(rows: DataFrame, queries: str = "vec_id % 20 = 0", k: int =
                 yield pd.DataFrame([(g, query, frame["v"].iloc[at], np.array(taken)[groups == g]) for g in np.unique(groups)],
                                    columns=["g", "query", "q", "leaves"])
 
-    visits = once.mapInPandas(visit, "g bigint, query bigint, q array<double>, leaves array<bigint>")
-    parts = max(1, -(-once.count() // UNIT_QUERIES))
+    n_asked = once.count()
+    parts = max(1, -(-n_asked // UNIT_QUERIES))
+    spread = once.repartition(max(1, -(-n_asked // WALKS_PER_TASK)), "rep")
+    visits = spread.mapInPandas(visit, "g bigint, query bigint, q array<double>, leaves array<bigint>")
     visits = visits.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
     # a leaf above GROUP_ROWS is cut by hash, so no unit outgrows its bound
     cuts = np.maximum(1, -(-sizes // GROUP_ROWS))
@@ -232,7 +235,7 @@ def nearest_vectors(rows: DataFrame, queries: str = "vec_id % 20 = 0", k: int =
     n_cuts = F.coalesce(*[F.when(F.col("leaf") == i, F.lit(n)) for i, n in crowded.items()], F.lit(1))
     most = int(cuts.max())
     group_list = F.lit(group_of.tolist())
-    laid = laid.select(F.element_at(group_list, (F.col("leaf") + 1).cast("int")).alias("g"), "leaf", "rep", "v",
+    laid = laid.select(F.element_at(group_list, (F.col("leaf") + 1).cast("int")).cast("bigint").alias("g"), "leaf", "rep", "v",
                        F.pmod(F.xxhash64("rep"), n_cuts).cast("int").alias("cut"),
                        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
     visits = visits.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))

@@ -173,6 +173,19 @@ def test_vectors_with_copies_and_faults(spark):
         assert [f[2] for f in found] == pytest.approx([-s for s, _ in want[q]])
 
 
+def test_many_units_find_the_same(spark, folder, monkeypatch):
+    """Small groups of leaves and few queries a unit change the division of work, not the answers."""
+    from stratascore.llm import vector_search
+
+    table = spark.read.parquet(f"{folder}/embeddings.parquet")
+    monkeypatch.setattr(vector_search, "LEAF_ROWS", 32)
+    whole = sorted(tuple(r) for r in nearest_vectors(table).collect())
+    monkeypatch.setattr(vector_search, "GROUP_ROWS", 100)
+    monkeypatch.setattr(vector_search, "UNIT_QUERIES", 5)
+    monkeypatch.setattr(vector_search, "WALKS_PER_TASK", 4)
+    assert sorted(tuple(r) for r in nearest_vectors(table).collect()) == whole and len(whole) == 25 * 20
+
+
 def test_few_or_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
     rows = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in nearest_vectors(few).collect())
