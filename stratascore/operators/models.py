@@ -151,8 +151,8 @@ class NeighborVote(_Stage, Transformer):
     def read(cls):
         return _NeighborReader(cls)
 
-    def forget(self) -> None:
-        drop_path(SparkSession.getActiveSession(), self.get("table"))
+    def forget(self, spark: SparkSession) -> None:
+        drop_path(spark, self.get("table"))
 
 
 class _NeighborWriter(DefaultParamsWriter):

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratascore.operators.models import (
@@ -113,17 +113,17 @@ def out_of_fold(train: DataFrame, features: Sequence[str], spec: StackSpec, key:
     parts = _run([lambda j=j: one(j) for j in n_folds], spec.threads)
     scored = materialize(reduce(DataFrame.unionByName, parts), "oof")
     for model in models:
-        forget(model)
+        forget(model, train.sparkSession)
     return scored
 
 
-def forget(model: PipelineModel) -> None:
+def forget(model: PipelineModel, spark: SparkSession) -> None:
     """Delete the scratch tables of a fitted model that is not needed any more."""
     for stage in model.stages:
         if isinstance(stage, PipelineModel):
-            forget(stage)
+            forget(stage, spark)
         elif isinstance(stage, NeighborVote):
-            stage.forget()
+            stage.forget(spark)
 
 
 def fit_meta(oof: DataFrame, spec: StackSpec, label: str = "label", key: str = "id") -> PipelineModel:
@@ -187,6 +187,6 @@ def nested_out_of_fold(train: DataFrame, features: Sequence[str], spec: StackSpe
     parts = _run([lambda j=j: one(j) for j in range(folds)], spec.threads)
     scored = materialize(reduce(DataFrame.unionByName, parts), "nested")
     for model in models:
-        forget(model)
+        forget(model, train.sparkSession)
     release(outer)
     return scored

@@ -452,12 +452,12 @@ def recipe_score_c7(spark, folder):
     return fitted.score(df)
 
 
-@query("recipe_metadata", f"""WITH {EMBEDDING}, m(name, folds, n_features, n_inputs) AS (VALUES ('c4', 2, 1, 1), ('c6', 2, 5, 5), ('c7', 0, 0, 0))
+@query("recipe_metadata", f"""WITH {EMBEDDING}, m(name, folds, n_features, n_inputs) AS (VALUES ('c6', 2, 5, 5), ('c7', 0, 0, 0))
 SELECT name, CAST(folds AS INTEGER) AS folds, CAST(n_features AS INTEGER) AS n_features, CAST(n_inputs AS INTEGER) AS n_inputs,
   0.5e0 AS threshold, count(*) AS n_train, count(*) FILTER (label = 1) AS n_pos FROM emb, m GROUP BY ALL""")
 def recipe_metadata(spark, folder):
     """What a fitted recipe uses and what it was trained on; the quick ones, the others are in ``recipe_shapes``."""
-    fitted = [fitted_recipe(n, spark, folder)[1] for n in ("c4", "c6", "c7")]
+    fitted = [fitted_recipe(n, spark, folder)[1] for n in ("c6", "c7")]
     return metadata(spark, fitted).select("name", "folds", "n_features", "n_inputs", "threshold", "n_train", "n_pos")
 
 

@@ -77,7 +77,7 @@ def test_neighbour_recipes_on_both_paths(spark, wide, monkeypatch, name, limit):
     first = fitted.score(wide)
     path = session.scratch_path(spark, "neighbours")
     save_recipe(fitted, spark, path)
-    S.forget(fitted.model)  # the saved model has its own points
+    S.forget(fitted.model, spark)  # the saved model has its own points
     second = load_recipe(spark, path).score(wide)
     assert first.dtypes[0] == ("id", "bigint") and second.count() == 400
     key = (name, "rows")
