@@ -6,7 +6,7 @@ import pytest
 from conftest_llm import prose
 
 from stratascore.llm.decontamination import HammingBlocks, ItemIndex, contaminated, keep_clean, weighted_similarity
-from stratascore.llm.substring_dedup import compact_windows, repeated_passages
+from stratascore.llm.substring_dedup import FUNCTIONS, agreeing_places, compact_windows, repeated_passages
 
 
 def test_compact_windows_by_definition():
@@ -25,6 +25,20 @@ def test_compact_windows_by_definition():
         assert set(compact_windows(values, width)) == want
 
 
+def test_interval_join_by_definition():
+    rng = random.Random(6)
+    for _ in range(200):
+        anchors = [(rng.randrange(50), (rng.randrange(60) << 32) | (rng.randrange(20) << 16) | rng.randrange(20),
+                    (rng.randrange(60) << 32) | (rng.randrange(20) << 16) | rng.randrange(20)) for _ in range(rng.randint(1, 15))]
+        spans = []
+        for key, a, b in anchors:
+            left, right = min(a >> 16 & 0x7FFF, b >> 16 & 0x7FFF), min(a & 0x7FFF, b & 0x7FFF)
+            spans.append(((a >> 32) - left, (a >> 32) + right, key % FUNCTIONS, (a >> 32, b >> 32)))
+        spans = [s for s in spans if s[1] - s[0] + 1 >= 10]
+        want = [s[3] for s in spans if len({o[2] for o in spans if min(s[1], o[1]) - max(s[0], o[0]) + 1 >= 10}) >= 2]
+        assert agreeing_places(anchors, 10, 2) == want
+
+
 def make_documents(spark):
     """Passages of 51 to 200 words, exact and with a changed word, in documents that share nothing else."""
     rng = random.Random(5)
