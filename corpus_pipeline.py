@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratascore.llm import decontamination, language_id, mixing, sharding, simhash_dedup
 from stratascore.llm.common import read
-from stratascore.session import materialize
+from stratascore.session import materialize, release
 
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -41,7 +41,10 @@ ORACLE_SQL = None  # language models and fingerprints have no SQL form; tested a
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each result is written to the shared folder and read again by the next."""
-    docs = read(spark, sf_dir, "documents")
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:
+            release(last)  # the stage that read it is written
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

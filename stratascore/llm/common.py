@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratascore.session import materialize
+from stratascore.session import materialize, release
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -70,16 +70,6 @@ def local_labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return label
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table that nothing reads any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def folder_of(table: DataFrame) -> str:
-    return table.inputFiles()[0].rsplit("/", 1)[0] if table.inputFiles() else ""
-
-
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of an undirected graph: (node, root), root the smallest node reachable.
 
@@ -88,7 +78,6 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     is a minimum per node (combined before the shuffle) and a join, so a node with very many links is
     an ordinary skewed join; every round is written to the shared folder.
     """
-    spark = links.sparkSession
     now = materialize(links.where("a <> b").selectExpr("greatest(a, b) AS hi", "least(a, b) AS lo").distinct(), name)
     mark = None
     while True:
@@ -102,7 +91,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         star = large.join(low, "hi").where("lo <> m").selectExpr("lo AS hi", "m AS lo")
         after = materialize(star.union(low.selectExpr("hi", "m AS lo")).distinct(), name)
-        drop_folder(spark, folder_of(now))
+        release(now)
         now = after
     roots = now.selectExpr("lo AS node", "lo AS root").distinct()
     return now.selectExpr("hi AS node", "lo AS root").union(roots)
