@@ -81,7 +81,7 @@ def test_neighbour_recipes_on_both_paths(spark, wide, monkeypatch, name, limit):
     second = load_recipe(spark, path).score(wide)
     assert first.dtypes[0] == ("id", "bigint") and second.count() == 400
     key = (name, "rows")
-    rows = sorted(tuple(r) for r in second.collect())
+    rows = sorted((r["id"], round(r["probability"], 9), r["prediction"]) for r in second.collect())
     assert SEEN.setdefault(key, rows) == rows
 
 

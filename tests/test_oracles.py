@@ -7,6 +7,8 @@ import __spark_entry__ as entry
 
 ORACLES = entry.oracle_sql()
 QUERIES = entry.queries()
+# minutes each at their published sizes; run by oracle_check.py, their parts by the tests beside this one
+LONG = {f"recipe_score_c{i}" for i in range(6)} | {"segment_score"}
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,7 @@ def con(folder):
     return connect(folder)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - LONG))
 def test_same_as_sql(spark, con, folder, name):
     assert compare(spark, con, folder, QUERIES[name], ORACLES[name]) is None
 
