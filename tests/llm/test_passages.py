@@ -33,7 +33,7 @@ def test_interval_join_by_definition():
         spans = []
         for key, a, b in anchors:
             left, right = min(a >> 16 & 0x7FFF, b >> 16 & 0x7FFF), min(a & 0x7FFF, b & 0x7FFF)
-            spans.append(((a >> 32) - left, (a >> 32) + right, key % FUNCTIONS, (a >> 32, b >> 32)))
+            spans.append(((a >> 32) - left, (a >> 32) + right, key % FUNCTIONS, (a >> 32, b >> 32, (a >> 32) - left, (a >> 32) + right)))
         spans = [s for s in spans if s[1] - s[0] + 1 >= 10]
         want = [s[3] for s in spans if len({o[2] for o in spans if min(s[1], o[1]) - max(s[0], o[0]) + 1 >= 10}) >= 2]
         assert agreeing_places(anchors, 10, 2) == want
