@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 ORACLES = entry.oracle_sql()
 QUERIES = entry.queries()
-# minutes each at their published sizes; run by oracle_check.py, their parts by the tests beside this one
+# dozens of fits each; run by oracle_check.py, their parts by the tests beside this one
 LONG = {f"recipe_score_c{i}" for i in range(6)} | {"segment_score"}
 
 
