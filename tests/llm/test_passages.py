@@ -176,3 +176,27 @@ def test_items_in_several_passes(spark, benchmark_items):
 
 def test_index_of_no_items():
     assert ItemIndex([]).matches("some words here") == []
+
+
+def test_passages_around_one_common_line(spark):
+    """Every document has the same line; passages around it are shared by two each, and by no two the same."""
+    line = prose("en", 44, 31).split()
+    texts, pairs = [], 60
+    for i in range(2 * pairs):
+        shared = prose("fr", 8, 7000 + i % pairs).split()
+        cut = i % pairs % 9
+        passage = [*shared[:cut], *line, *shared[cut:]]
+        text = [*prose("de", 30, 100 + i).split(), *passage, *prose("de", 30, 400 + i).split()]
+        if i % 3 == 0:
+            text += [*line, *prose("de", 25, 800 + i).split()]  # the line once more, before or after the passage
+        if i % 5 == 0:
+            text = [*prose("de", 25, 900 + i).split(), *line, *text]
+        texts.append((i, " ".join(text)))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    words = dict((i, t.split()) for i, t in texts)
+    rows = repeated_passages(docs).collect()
+    for r in rows:
+        a, b = words[r.doc_id][r.start_word:r.end_word], words[r.other_doc_id][r.other_start:r.other_end]
+        assert weighted_similarity(grams(a), grams(b)) == pytest.approx(r.similarity) and r.similarity >= 0.8
+    found = {frozenset((r.doc_id, r.other_doc_id)) for r in rows}
+    assert found == {frozenset((i, i + pairs)) for i in range(pairs)}
