@@ -6,7 +6,7 @@ import pytest
 from conftest_llm import prose
 
 from stratascore.llm.decontamination import HammingBlocks, ItemIndex, contaminated, keep_clean, weighted_similarity
-from stratascore.llm.substring_dedup import FUNCTIONS, agreeing_places, compact_windows, repeated_passages
+from stratascore.llm.substring_dedup import FUNCTIONS, agreeing_places, compact_windows, repeated_passages, shingle_codes, similar_passages
 
 
 def test_compact_windows_by_definition():
@@ -200,3 +200,38 @@ def test_passages_around_one_common_line(spark):
         assert weighted_similarity(grams(a), grams(b)) == pytest.approx(r.similarity) and r.similarity >= 0.8
     found = {frozenset((r.doc_id, r.other_doc_id)) for r in rows}
     assert found == {frozenset((i, i + pairs)) for i in range(pairs)}
+
+
+def one_word_off(words, kind):
+    """A word more or less in the middle."""
+    at = len(words) // 2
+    return [*words[:at], "inserted", *words[at:]] if kind == "insert" else [*words[:at], *words[at + 1:]]
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete"])
+@pytest.mark.parametrize("n", [52, 60, 70])
+def test_both_sides_of_an_inserted_or_deleted_word(n, kind):
+    """Places on one side of the word are enough, whichever it is; a common run elsewhere does not cut the passage."""
+    passage = prose("en", n, n).split()
+    near = one_word_off(passage, kind)
+    stray = passage[-8:]
+    codes = [shingle_codes([w.encode() for w in x]) for x in (
+        [*prose("fr", 30, 1).split(), *passage, *prose("fr", 30, 2).split()],
+        [*prose("de", 20, 3).split(), *near, *prose("de", 6, 4).split(), *stray, *prose("de", 20, 5).split()])]
+    for place in ((30 + 3, 20 + 3), (30 + n - 8, 20 + len(near) - 8)):
+        found = similar_passages(*codes, [place])
+        assert len(found) == 1 and found[0][0] <= 30 + 1 and found[0][1] >= 30 + n - 5 and found[0][4] >= 0.8
+
+
+def test_passages_with_inserted_and_deleted_words(spark):
+    line = prose("en", 14, 78).split()
+    texts, pairs = [], 200
+    for i in range(pairs):
+        passage = prose("fr", 52 + i % 18, 20_000 + i).split()
+        for j, own in enumerate((passage, one_word_off(passage, ("insert", "delete")[i % 2]))):
+            text = [*prose("de", 40, 30_000 + 2 * i + j).split(), *line, *prose("de", 9, 40_000 + 2 * i + j).split(), *own, *prose("de", 60, 50_000 + 2 * i + j).split()]
+            texts.append((2 * i + j, " ".join(text)))
+    rows = repeated_passages(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)).collect()
+    assert all(r.similarity >= 0.8 for r in rows)
+    found = {frozenset((r.doc_id, r.other_doc_id)) for r in rows}
+    assert all(max(f) - min(f) == 1 and min(f) % 2 == 0 for f in found) and len(found) >= 0.99 * pairs
