@@ -6,6 +6,11 @@ same way. Items of one length lie in ``BLOCKS`` tables by the bits of each block
 each table that far finds all of them. What is found is held against the item by the weighted Jaccard
 similarity of five-word shingles, repeats counted.
 
+Fingerprints of words can lie further apart than the radius though the shingles are alike, as when a
+block of an item is replaced by one repeated word. So an item is also held against every window that
+has enough places where one of its own shingles begins: no window of similarity 0.8 has fewer, and
+nothing depends on the fingerprints alone.
+
 A window can only pass with 8/9 of its shingles in common with an item (at similarity 0.8), so windows
 that hold too few shingles of any item are not fingerprinted: this is a bound, not a cut.
 """
@@ -80,11 +85,15 @@ class ItemIndex:
         self.similarity = similarity
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for words in known for w in words}), 1)}
         by_length, grams = defaultdict(list), defaultdict(set)
+        self.holders: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))  # by length: shingle, items
         for words, item in sorted(known.items(), key=lambda x: x[1]):
             by_length[len(words)].append((item, Counter(shingles(list(words), SHINGLE)), sign_bits(_hashes(words))))
             size = min(SHINGLE, len(words))
             ids = np.array([self.vocabulary[w] for w in words], np.uint64)
-            grams[size].update(self._grams(ids, size).tolist())
+            own = set(self._grams(ids, size).tolist())
+            grams[size].update(own)
+            for gram in own:
+                self.holders[len(words)][gram].append(len(by_length[len(words)]) - 1)
         self.lengths = {n: (own, HammingBlocks([m for _, _, m in own], radius, blocks)) for n, own in by_length.items()}
         self.grams = {size: np.array(sorted(own), np.uint64) for size, own in grams.items()}
 
@@ -106,6 +115,23 @@ class ItemIndex:
                 hit[at] = own[np.minimum(np.searchsorted(own, grams), len(own) - 1)] == grams
         return hit
 
+    def _sharing(self, ids: np.ndarray, starts: np.ndarray, length: int, size: int, per_window: int, least: float) -> dict[int, list[int]]:
+        """By start, the items of ``length`` words whose own shingles begin at ``least`` or more places of the window."""
+        hits, holders = defaultdict(list), self.holders[length]
+        unknown = np.concatenate([[0], np.cumsum(ids == 0)])
+        known = np.nonzero(unknown[size:] == unknown[:-size])[0]
+        grams = (ids[known[:, None] + np.arange(size)] * FACTORS[:size]).sum(axis=1, dtype=np.uint64)
+        for place, gram in zip(known.tolist(), grams.tolist(), strict=True):
+            for which in holders.get(gram, ()):
+                hits[which].append(place)
+        found = defaultdict(list)
+        for which, places in hits.items():
+            if len(places) >= least - 1e-9:
+                n = np.searchsorted(places, starts + per_window) - np.searchsorted(places, starts)
+                for start in starts[n >= least - 1e-9].tolist():
+                    found[start].append(which)
+        return found
+
     def matches(self, text: str | None) -> list[tuple[int, int, int, float]]:
         """Best window of each item found: item, first word, words, similarity."""
         words = lower_words(text)
@@ -134,9 +160,10 @@ class ItemIndex:
                 bits = np.unpackbits(_hashes(words[first:last]).view(np.uint8), bitorder="little").reshape(-1, 64)
                 ones = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
                 at = group - first
+                sharing = self._sharing(ids[first:last], at, length, size, per_window, least)
                 marks = np.packbits(2 * (ones[at + width] - ones[at]) > width, axis=1, bitorder="little").view(np.uint64)[:, 0]
                 for start, mark in zip(group.tolist(), marks.tolist(), strict=True):
-                    near = blocks.near(mark)
+                    near = sorted({*blocks.near(mark), *sharing.get(start - first, ())})
                     window = Counter(shingles(words[start : start + width], SHINGLE)) if near else None
                     for which in near:
                         item, weights, _ = own[which]

@@ -235,3 +235,19 @@ def test_passages_with_inserted_and_deleted_words(spark):
     assert all(r.similarity >= 0.8 for r in rows)
     found = {frozenset((r.doc_id, r.other_doc_id)) for r in rows}
     assert all(max(f) - min(f) == 1 and min(f) % 2 == 0 for f in found) and len(found) >= 0.99 * pairs
+
+
+@pytest.mark.parametrize("n", [200, 500, 1000])
+@pytest.mark.parametrize("blank", ["one word", "distinct words"])
+def test_items_with_a_replaced_block(n, blank):
+    """A block of an item is blanked out; by its shingles the copy is still alike."""
+    rng = random.Random(n)
+    items = {i: [f"w{rng.getrandbits(40)}" for _ in range(n)] for i in range(12)}
+    index = ItemIndex([(i, " ".join(own)) for i, own in items.items()])
+    for i, own in items.items():
+        gone = int(n * (0.07 + 0.0015 * i))
+        at = rng.randrange(5, n - gone - 5)
+        copy = [*own[:at], *(["____"] * gone if blank == "one word" else [f"x{k}" for k in range(gone)]), *own[at + gone:]]
+        text = " ".join([*prose("en", 40, i).split(), *copy, *prose("en", 40, 100 + i).split()])
+        want = brute_force(text, {i: own})
+        assert {m[0]: m[3] for m in index.matches(text)} == pytest.approx(want) and want
