@@ -7,7 +7,7 @@ together, so a level is one shuffle of a table that shrinks by the fanout each t
 down the same tables by joins on (tree, position), a key that occurs once on either side.
 
 Positions inside a tree come from a range sort over all rows, so a group with a third of them lies in
-many tasks. Only one number per level and the root reach the driver.
+many tasks. Two numbers and the root reach the driver.
 """
 
 from __future__ import annotations
@@ -73,7 +73,8 @@ def _grown(leaves: DataFrame, fanout: int, name: str) -> tuple[list[DataFrame],
     nodes = materialize(leaves, f"{name}-leaves")
     kept, parents, tops = [nodes], [], [nodes.where("n = 1").selectExpr("tree", "digest", "0 AS height")]
     slots = [f"slot{s}" for s in range(fanout)]
-    while (nodes.agg(F.max("n")).first()[0] or 0) > 1:
+    width = nodes.agg(F.max("n")).first()[0] or 0
+    while width > 1:
         own = F.struct(*[c for c in nodes.columns if c in ("load", "digest")])
         grouped = nodes.where("n > 1").groupBy("tree", "n", F.expr(f"pos div {fanout}").alias("up"))
         level = grouped.agg(*[F.first(F.when(F.col("pos") % fanout == s, own), ignorenulls=True).alias(slot) for s, slot in enumerate(slots)])
@@ -82,7 +83,7 @@ def _grown(leaves: DataFrame, fanout: int, name: str) -> tuple[list[DataFrame],
         table = materialize(level, f"{name}-level")
         kept.append(table)
         parents.append(table.select("tree", "pos", *slots))
-        nodes = table.select("tree", "pos", "n", "digest")
+        nodes, width = table.select("tree", "pos", "n", "digest"), -(-width // fanout)
         tops.append(nodes.where("n = 1").selectExpr("tree", "digest", f"{len(parents)} AS height"))
     return parents, reduce(DataFrame.union, tops), kept
 
