@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratascore.llm import (
-    decontamination, language_id, lm_scoring, merkle, mixing, sharding, simhash_dedup, substring_dedup, token_counts, url_rules,
-    vector_search,
+    bpe, decontamination, language_id, lm_scoring, merkle, mixing, sharding, simhash_dedup, substring_dedup, token_counts, url_rules,
+    vector_search, whitening,
 )
 from stratascore.llm.common import read
 
@@ -54,12 +54,22 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(docs).select("doc_id", sharding.bytes_of(F.col("text")).alias("n_bytes"), "shard", "shard_bytes")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(read(spark, folder, "embeddings"))
+
+
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(read(spark, folder, "documents"), bpe.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified_manifest(read(spark, folder, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_dedup, op3_token_counts, op4_mixing, op5_lm_scoring,
                                  op6_language_id, op7_decontamination, op8_vector_search, op9_url_rules, op10_sharding,
-                                 op13_merkle_manifest)}
+                                 op11_whitening, op12_bpe, op13_merkle_manifest)}
 ORACLES = {"op4_mixing": mixing.MIX_SQL, "op10_sharding": sharding.SHARD_SQL.format(limit=sharding.LIMIT),
            "op13_merkle_manifest": merkle.MERKLE_SQL}
