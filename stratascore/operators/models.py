@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from stratascore.operators import neighbors
 from stratascore.operators.split import assign_folds
 from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage
-from stratascore.session import FIT_PARTITIONS, drop_path, laid_out, scratch_path
+from stratascore.session import drop_path, laid_out, scratch_path
 
 FEATURES = "_x"
 UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
@@ -279,7 +279,7 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
 
 
 def fit_router(df: DataFrame, features: Sequence[str], segment: str = "cluster", c: float = 1.0,
-               max_iter: int = 2000, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+               max_iter: int = 2000, partitions: int | None = None) -> PipelineModel:
     """Multinomial logistic regression from raw columns to the segment number (0..k-1)."""
     features = list(features)
     scaled = [f"_r{i}" for i in range(len(features))]

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,9 @@ from pyspark.sql.window import Window
 from stratascore.functions.columns import (
     name_at, quoted, safe_divide, sql_double, sql_doubles, sql_name, to_long,
 )
+from stratascore.operators.kmeans import fit_kmeans
 from stratascore.operators.split import sample_n
 from stratascore.operators.transform import _Stage
-from stratascore.session import FIT_PARTITIONS, laid_out
 
 MAX_UNROLLED = 128  # centres times features
 
@@ -41,37 +41,28 @@ class Relabel(_Stage, Transformer):
 
 
 def fit_segments(df: DataFrame, k: int = 8, restarts: int = 20, max_iter: int = 500, seed: int = 42,
-                 vector: str = "features", out: str = "cluster", tol: float = 1e-4,
-                 partitions: int = FIT_PARTITIONS) -> tuple[PipelineModel, dict]:
+                 vector: str = "features", out: str = "cluster", tol: float = 1e-4) -> tuple[PipelineModel, dict]:
     """KMeans with restarts: the run with the least inertia wins.
 
-    Segment numbers are arbitrary, so they are reordered by size, then by centroid. Every restart
-    reads the same kept vectors, laid out by their own hash in ``partitions`` parts, so the result is the
-    same however the table comes. A run has converged when its centres together moved, squared, by no
-    more than ``tol`` times the mean variance of a feature.
+    Segment numbers are arbitrary, so they are reordered by size, then by centroid. The restarts share
+    their passes, and the result is the same however the table comes, see ``operators.kmeans``.
     """
-    values = df.select(vector, vector_to_array(F.col(vector)).alias("_values"))
-    vectors = laid_out(values, ["_values"], partitions).select(vector).persist()
-    try:
-        variance = vectors.select(Summarizer.variance(F.col(vector))).head()[0].toArray().mean()
-        move = float(np.sqrt(tol * variance / k)) or 1e-12  # what one centre may move
-        best = None
-        for i in range(restarts):
-            kmeans = KMeans(k=k, maxIter=max_iter, tol=move, seed=seed + i, featuresCol=vector, predictionCol=out)
-            model = kmeans.fit(vectors)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
-        sizes = list(best.summary.clusterSizes)
-    finally:
-        vectors.unpersist()
-    centers = [c.tolist() for c in best.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda c: (-sizes[c], centers[c]))
-    numbers = [order.index(c) for c in range(len(centers))]
+    best = fit_kmeans(df, vector, k, restarts, max_iter, tol, seed)[0]
+    points = [c.tolist() for c in best.centers]
+    order = sorted(range(len(points)), key=lambda c: (-best.sizes[c], points[c]))
+    # k points in k segments are their own centres: that makes the fitted centres a pipeline stage
+    own = df.sparkSession.createDataFrame([(Vectors.dense(points[c]),) for c in order], [vector]).coalesce(1)
+    if len(points) > 1:
+        model = KMeans(k=len(points), maxIter=1, initMode="random", seed=seed, featuresCol=vector, predictionCol=out).fit(own)
+    else:
+        model = KMeans(k=2, maxIter=1, seed=seed, featuresCol=vector, predictionCol=out).fit(own)
+    places = {tuple(points[c]): place for place, c in enumerate(order)}
+    numbers = [places[tuple(c.tolist())] for c in model.clusterCenters()]
     report = {
-        "inertia": float(best.summary.trainingCost), "iterations": int(best.summary.numIter),
-        "sizes": [sizes[c] for c in order], "centers": [centers[c] for c in order], "partitions": partitions,
+        "inertia": best.inertia, "iterations": best.iterations, "converged": best.converged,
+        "sizes": [best.sizes[c] for c in order], "centers": [points[c] for c in order],
     }
-    return PipelineModel([best, Relabel(out, numbers)]), report
+    return PipelineModel([model, Relabel(out, numbers)]), report
 
 
 def centroids(df: DataFrame, features: Sequence[str], segment: str) -> list[tuple[object, list[float]]]:

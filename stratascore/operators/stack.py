@@ -23,7 +23,7 @@ from stratascore.operators.models import (
 from stratascore.operators.resample import add_class_weight, smote
 from stratascore.operators.split import assign_folds
 from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage
-from stratascore.session import FIT_PARTITIONS, laid_out, materialize, release
+from stratascore.session import laid_out, materialize, release
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ class StackSpec:
     threads: int = 4
     seed: int = 42
     base_threads: int = field(default=4)
-    partitions: int = FIT_PARTITIONS  # of every training table; part of the result, like the seed
+    partitions: int | None = None  # of every training table, by its rows if None; part of the result, like the seed
 
 
 class Threshold(_Stage, Transformer):

@@ -424,7 +424,7 @@ def loo_vote(spark, folder):
 # here they are ``CATALOGUE``, because at full size one nested recipe takes over ten minutes of small jobs.
 CATALOGUE = {"trees": 40, "steps": 20, "max_iter": 25}
 STAND_INS = {"c0": tuple(EMBEDDING_FEATURES[:10]), "c4": ("e3",), "c6": tuple(EMBEDDING_FEATURES[:5])}
-SETTINGS = {"c1": {"l1_c": 0.05}, "c2": {"variance_above": 0.02}, "c5": {"l1_c": 0.05}}
+SETTINGS = {"c1": {"l1_c": 0.05}, "c5": {"l1_c": 0.05}}
 
 
 def shortened(learner: M.Learner) -> M.Learner:
@@ -444,9 +444,19 @@ def recipe_of(name: str, published: bool = False):
     return replace(recipe, stack=replace(recipe.stack, bases=tuple(map(shortened, recipe.stack.bases))))
 
 
+def recipe_for(name: str, df: DataFrame):
+    """The recipe of the catalogue; the variance filter of ``c2`` cuts at the median variance of the scaled columns."""
+    recipe = recipe_of(name)
+    if name != "c2":
+        return recipe
+    scaled = MinMaxSelected(EMBEDDING_FEATURES).fit(df).transform(df)
+    spread = sorted(scaled.agg(*[F.var_pop(f) for f in EMBEDDING_FEATURES]).first())
+    return replace(recipe, variance_above=(spread[EMBEDDING_DIM // 2 - 1] + spread[EMBEDDING_DIM // 2]) / 2)
+
+
 def fitted_recipe(name: str, spark, folder):
     df = embedding_features(spark, folder).drop("cluster")
-    return df, fit_recipe(recipe_of(name), df, EMBEDDING_FEATURES)
+    return df, fit_recipe(recipe_for(name, df), df, EMBEDDING_FEATURES)
 
 
 def recipe_query(name: str):
@@ -484,7 +494,7 @@ def recipe_shapes(spark, folder):
 
     df, out = embedding_features(spark, folder).drop("cluster"), []
     for name in ("c1", "c2", "c3", "c5"):
-        recipe = recipe_of(name)
+        recipe = recipe_for(name, df)
         stages, _, used, names = prepare(recipe, df, EMBEDDING_FEATURES)
         kept = len(used) - sum(len(s.get("columns")) for s in stages if type(s).__name__ == "ColumnDropper")
         bites = 0 < kept < EMBEDDING_DIM if recipe.l1_c or recipe.variance_above is not None else len(names) < EMBEDDING_DIM

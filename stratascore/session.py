@@ -118,13 +118,20 @@ def kept_between_passes(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
-FIT_PARTITIONS = 4  # documented parameter of every seeded fit; raise it for large tables
+ROWS_PER_PART = 1 << 20  # of the table of a seeded fit
+LEAST_PARTS = 4
 
 
-def laid_out(df: DataFrame, by: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """``df`` in ``partitions`` hash partitions by the columns, sorted by them inside.
+def fit_partitions(n: int) -> int:
+    """Parts of the table of a seeded fit: a power of two at about ``ROWS_PER_PART`` rows a part, whatever the cluster."""
+    return max(LEAST_PARTS, 1 << max(0, (n - 1) // ROWS_PER_PART).bit_length())
+
+
+def laid_out(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``df`` in hash partitions by the columns, sorted by them inside; None takes ``fit_partitions`` of its rows.
 
     Seeded fits draw by partition and position. In this layout the draw depends on the rows and on
-    ``partitions``, not on how the table came or on the number of cores.
+    their number, not on how the table came or on the number of cores.
     """
-    return df.repartition(partitions, *[F.xxhash64(c) for c in by]).sortWithinPartitions(*by)
+    parts = fit_partitions(df.count()) if partitions is None else partitions
+    return df.repartition(parts, *[F.xxhash64(c) for c in by]).sortWithinPartitions(*by)
