@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 import numpy as np
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -17,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratascore.functions.columns import sql_doubles
-from stratascore.operators.transform import Standardizer, _Stage, _names
+from stratascore.operators.linear import WHOLE, LinearModel, fit_folds, held_out_classes
+from stratascore.operators.transform import _Stage, _names
 
 
 class VectorColumns(_Stage, Transformer):
@@ -121,65 +118,31 @@ def transform_gap(model, df: DataFrame, key: str = "id") -> DataFrame:
     return both.agg(F.count(F.lit(1)).alias("n"), F.max(gap).alias("max_gap"))
 
 
-def _l1_table(df: DataFrame, features: Sequence[str], label: str) -> tuple[PipelineModel, DataFrame]:
-    """Standardize, assemble, weigh: the fitted stages and the table an L1 fit reads."""
-    from stratascore.operators.resample import add_class_weight
-
-    stages = PipelineModel([
-        Standardizer(list(features)).fit(df), VectorAssembler(inputCols=list(features), outputCol="_x")])
-    return stages, add_class_weight(stages.transform(df).select(label, "_x"), label)
-
-
-def _l1_model(table: DataFrame, n: int, c: float, label: str):
-    """L1 logistic regression with inverse strength c; the balanced weights sum to n."""
-    return LogisticRegression(
-        featuresCol="_x", labelCol=label, weightCol="weight", elasticNetParam=1.0, regParam=1.0 / (c * n),
-        standardization=False, maxIter=5000, tol=1e-7).fit(table)
+def l1_model(df: DataFrame, features: Sequence[str], c: float = 0.01, label: str = "label") -> LinearModel:
+    """L1 logistic regression with inverse strength c on standardized columns, both classes of equal weight."""
+    return fit_folds(df, features, label, [(WHOLE, c)], balanced=True, l1=True)[0]
 
 
 def l1_select(df: DataFrame, features: Sequence[str], c: float = 0.01, label: str = "label") -> list[tuple[str, float]]:
     """Features with a non-zero coefficient, and that coefficient, in table order."""
-    table = _l1_table(df, features, label)[1].persist()
-    try:
-        coefs = _l1_model(table, table.count(), c, label).coefficients.toArray().tolist()
-    finally:
-        table.unpersist()
+    coefs = l1_model(df, features, c, label).coefficients[0].tolist()
     return [(f, w) for f, w in zip(features, coefs) if w != 0.0]
 
 
 def l1_sweep(df: DataFrame, features: Sequence[str], strengths: Sequence[float], folds: int = 5, key: str = "id",
-             label: str = "label", threads: int = 4) -> DataFrame:
-    """Features kept on all rows, and mean F1 over stratified folds, per strength: ``(c, n_features, f1)``.
+             label: str = "label") -> DataFrame:
+    """Features kept on all rows, and mean F1 over stratified folds, per strength: ``(c, n_features, features, f1)``.
 
-    Each training part is prepared once for all strengths; all held-out predictions are judged in
-    one aggregate.
+    All strengths of all training parts are fitted in the same passes; all held-out predictions are
+    judged in one aggregate.
     """
     from stratascore.operators.evaluate import fold_scores
     from stratascore.operators.split import assign_folds
 
     rows = assign_folds(df.select(key, label, *[F.col("`" + f + "`") for f in features]), folds, key, by=label)
-
-    def part(j: int | None) -> list:
-        stages, table = _l1_table(rows if j is None else rows.filter(F.col("fold") != j), features, label)
-        table = table.persist()
-        try:
-            n = table.count()
-            models = [(c, _l1_model(table, n, c, label)) for c in strengths]
-        finally:
-            table.unpersist()
-        if j is None:
-            return [(float(c), int(np.count_nonzero(m.coefficients.toArray()))) for c, m in models]
-        held = stages.transform(rows.filter(F.col("fold") == j)).select("fold", label, vector_to_array("_x").alias("x"))
-        # every strength judges the row in one pass: the sign of its margin is its prediction
-        judged = [
-            F.struct(F.lit(float(c)).alias("c"), (F.expr(
-                f"aggregate(zip_with(x, {sql_doubles(m.coefficients.toArray().tolist())}, (a, w) -> a * w), 0D, (s, v) -> s + v)"
-            ) + m.intercept > 0).cast("int").alias("prediction")) for c, m in models]
-        return [held.select("fold", label, F.explode(F.array(*judged)).alias("j")).select("j.c", "fold", label, "j.prediction")]
-
-    with ThreadPoolExecutor(threads) as pool:
-        whole, *parts = list(pool.map(part, [None, *range(folds)]))
-    scored = reduce(DataFrame.unionByName, [p for found in parts for p in found])
+    models = fit_folds(rows, features, label, [(j, c) for j in (WHOLE, *range(folds)) for c in strengths], "fold", balanced=True, l1=True)
+    whole = [(m.c, [f for f, w in zip(features, m.coefficients[0]) if w != 0.0]) for m in models if m.left_out == WHOLE]
+    scored = held_out_classes(rows, features, [m for m in models if m.left_out != WHOLE], "fold", ["fold", label])
     f1 = fold_scores(scored, "fold", label, by=["c"]).groupBy("c").agg(F.avg("f1").alias("f1"))
-    kept = df.sparkSession.createDataFrame(whole, "c double, n_features int")
+    kept = df.sparkSession.createDataFrame([(float(c), len(names), names) for c, names in whole], "c double, n_features int, features array<string>")
     return kept.join(f1, "c", "left")

@@ -52,6 +52,28 @@ def logistic_gradient(rows: DataFrame, vector: str, label: str, coefficients: Se
     return [g / v[-1] for g in v[:-2]], v[-2] / v[-1]
 
 
+def softmax_gradient(rows: DataFrame, features: Sequence[str], label: str, model) -> np.ndarray:
+    """Mean gradient of the log loss per class, the intercept first and then each standardized column."""
+    classes = len(model.intercepts)
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            z = (np.array(frame["x"].tolist(), float).reshape(len(frame), -1) - model.mean) / model.scale
+            score = z @ model.coefficients.T + model.intercepts
+            gap = np.exp(score - np.logaddexp.reduce(score, axis=1)[:, None])
+            gap[np.arange(len(frame)), frame["y"].to_numpy(int)] -= 1
+            both = np.hstack([gap.sum(axis=0)[:, None], gap.T @ z])
+            yield pd.DataFrame({"class": np.arange(classes), "n": len(frame), "part": list(both)})
+
+    table = rows.select(F.array(*[F.col(f).cast("double") for f in features]).alias("x"), F.col(label).alias("y"))
+    each = table.mapInPandas(sums, "class int, n bigint, part array<double>").select("class", "n", F.posexplode("part").alias("at", "v"))
+    found = each.groupBy("class", "at").agg((F.sum("v") / F.sum("n")).alias("g")).collect()  # classes x columns
+    out = np.zeros((classes, len(features) + 1))
+    for row in found:
+        out[row["class"], row["at"]] = row["g"]
+    return out
+
+
 def centre_facts(df: DataFrame, vector: str, segment: str, centres: Sequence[Sequence[float]], tol: float) -> tuple[int, int, float]:
     """Rows, rows that are nearer to another centre than to their own, largest distance of a centre from its rows' mean."""
     points = np.asarray(centres, float)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratascore.operators import evaluate as E
+from stratascore.operators import linear as L
 from stratascore.operators import models as M
 from stratascore.operators import reduce as D
 from stratascore.operators import segment as G
@@ -137,31 +138,45 @@ def transform_repeatable(spark, folder):
 STRENGTHS = (0.005, 0.01, 0.02, 0.05, 0.1)
 
 
-@query("l1_select", f"""SELECT CAST(c AS DOUBLE) AS c, true AS grows, true AS f1_sound FROM (VALUES {', '.join(f'({c})' for c in STRENGTHS)}) t(c)""")
-def l1_select(spark, folder):
-    """Features that survive the L1 penalty at each strength, with the mean F1 over five folds: a weaker penalty keeps no fewer."""
+def l1_rows(spark, folder) -> DataFrame:
     df = materialize(document_features(spark, folder), "documents")
-    rows = D.l1_sweep(df, DOCUMENT_FEATURES, STRENGTHS).orderBy("c").collect()  # one row per strength
+    rows = materialize(D.l1_sweep(df, DOCUMENT_FEATURES, STRENGTHS), "l1-sweep")
     release(df)
-    out = [(x["c"], i == 0 or x["n_features"] >= rows[i - 1]["n_features"], x["f1"] is None or 0.0 <= x["f1"] <= 1.0) for i, x in enumerate(rows)]
+    return rows
+
+
+@query("l1_sweep")
+def l1_sweep(spark, folder):
+    """Features that survive the L1 penalty at each strength, their names, and the mean F1 over five folds."""
+    return l1_rows(spark, folder)
+
+
+@query("l1_select", f"""SELECT CAST(c AS DOUBLE) AS c, true AS grows, true AS f1_sound FROM (VALUES {', '.join(f'({c})' for c in STRENGTHS)}) t(c)""")
+def l1_select(spark, folder):
+    """A weaker penalty keeps no fewer features; F1 is a share. The rows are ``l1_sweep``, the fits are checked in ``l1_coefficients``."""
+    rows = l1_rows(spark, folder).orderBy("c").collect()  # one row per strength
+    out = [(x["c"], (i == 0 or x["n_features"] >= rows[i - 1]["n_features"]) and len(x["features"]) == x["n_features"],
+            x["f1"] is None or 0.0 <= x["f1"] <= 1.0) for i, x in enumerate(rows)]
     return spark.createDataFrame(out, "c double, grows boolean, f1_sound boolean")
 
 
-@query("l1_coefficients", f"""SELECT 'e' || i AS feature, true AS optimal FROM range({EMBEDDING_DIM}) t(i)""")
+@query("l1_coefficients", f"""SELECT CAST(c AS DOUBLE) AS c, 'e' || i AS feature, true AS optimal
+FROM range({EMBEDDING_DIM}) t(i), (VALUES {', '.join(f'({c})' for c in STRENGTHS)}) s(c)""")
 def l1_coefficients(spark, folder):
-    """The signed coefficients of the L1 selection meet its optimality conditions: where one is not zero the
+    """The signed coefficients of the L1 path meet its optimality conditions at every strength: where one is not zero the
     gradient balances the penalty with its sign, elsewhere the gradient is weaker than the penalty."""
     df = materialize(embedding_features(spark, folder), "l1")
-    c = 0.05
-    chosen = dict(D.l1_select(df, EMBEDDING_FEATURES, c))
-    table, n = D._l1_table(df, EMBEDDING_FEATURES, "label")[1], df.count()
-    model = D._l1_model(table, n, c, "label")
-    gradient, _ = C.logistic_gradient(table, "_x", "label", model.coefficients.toArray(), model.intercept, "weight")
+    models = L.fit_folds(df, EMBEDDING_FEATURES, "label", [(L.WHOLE, c) for c in STRENGTHS], balanced=True, l1=True)
+    scaled = VectorAssembler(inputCols=EMBEDDING_FEATURES, outputCol="_x").transform(Standardizer(EMBEDDING_FEATURES).fit(df).transform(df))
+    table, n, out = add_class_weight(scaled.select("label", "_x"), "label"), df.count(), []
+    for model in models:
+        weights = model.coefficients[0].tolist()
+        gradient, free = C.logistic_gradient(table, "_x", "label", weights, float(model.intercepts[0]), "weight")
+        penalty, tol = 1.0 / (model.c * n), 1e-6 / (model.c * n)
+        out += [(float(model.c), f, bool(abs(g + penalty * np.sign(w)) <= tol if w else abs(g) <= penalty + tol) and abs(free) <= tol)
+                for f, g, w in zip(EMBEDDING_FEATURES, gradient, weights)]
     release(df)
-    penalty, tol = 1.0 / (c * n), 1e-3 / (c * n) + 1e-4
-    out = [(f, bool(abs(g + penalty * np.sign(w)) <= tol if w else abs(g) <= penalty + tol) and chosen.get(f, 0.0) == w)
-           for f, g, w in zip(EMBEDDING_FEATURES, gradient, model.coefficients.toArray().tolist())]
-    return spark.createDataFrame(out, "feature string, optimal boolean")
+    return spark.createDataFrame(out, "c double, feature string, optimal boolean")
 
 
 @query("dimension_experiment", f"""WITH {EMBEDDING}, w(method) AS (VALUES ('none'), ('variance'), ('pca_15'), ('pca_4'), ('pca_1'))
@@ -266,19 +281,51 @@ def router_holdout(spark, folder):
     return out.select("is_test", "n", F.col("accuracy").between(0.0, 1.0).alias("sound"))
 
 
-@query("cv_scores", "SELECT 'accuracy' AS metric, CAST(5 AS BIGINT) AS n_folds, true AS sound FROM (SELECT count(*) FROM embeddings)")
-def cv_scores(spark, folder):
-    """Five-fold accuracy of the router, mean and deviation."""
+def router_folds(spark, folder) -> tuple[DataFrame, list[L.LinearModel]]:
+    """The router of each of five stratified folds, all fitted in the same passes, and the table with its folds."""
     df = materialize(B.assign_folds(embedding_features(spark, folder), 5, by="cluster"), "cv")
+    classes = df.agg(F.max("cluster")).first()[0] + 1
+    return df, L.fit_folds(df, EMBEDDING_FEATURES, "cluster", [(j, 1.0) for j in range(5)], "fold", classes)
 
-    def one(j):
-        router = M.fit_router(df.filter(F.col("fold") != j), EMBEDDING_FEATURES)
-        return router.transform(df.filter(F.col("fold") == j)).select("fold", "cluster", "route")
 
-    parts = S._run([lambda j=j: one(j) for j in range(5)], 4)
-    folds = E.fold_accuracy(reduce(DataFrame.unionByName, parts), "fold", "cluster", "route")
-    out = E.score_summary(folds, ["accuracy"])
-    return out.select("metric", "n_folds", (F.col("mean").between(0.0, 1.0) & F.col("std").between(0.0, 0.5)).alias("sound"))
+def router_accuracy(spark, folder) -> DataFrame:
+    df, models = router_folds(spark, folder)
+    folds = E.fold_accuracy(L.held_out_classes(df, EMBEDDING_FEATURES, models, "fold", ["fold", "cluster"]), "fold", "cluster", "prediction")
+    out = materialize(E.score_summary(folds, ["accuracy"]), "cv-scores")
+    release(df)
+    return out
+
+
+@query("router_cv")
+def router_cv(spark, folder):
+    """Five-fold accuracy of the router: mean and deviation."""
+    return router_accuracy(spark, folder)
+
+
+@query("cv_scores", "SELECT 'accuracy' AS metric, CAST(5 AS BIGINT) AS n_folds, true AS sound FROM (SELECT count(*) FROM embeddings)")
+def cv_scores(spark, folder):
+    """Accuracy over five folds is a mean of shares with a deviation to match. The numbers are ``router_cv``, the fits ``cv_gradient``."""
+    return router_accuracy(spark, folder).select(
+        "metric", "n_folds", (F.col("mean").between(0.0, 1.0) & F.col("std").between(0.0, 0.5)).alias("sound"))
+
+
+@query("cv_gradient", f"""WITH {EMBEDDING}, f AS (SELECT j FROM range(5) t(j))
+SELECT CAST(j AS INTEGER) AS left_out, CAST(c AS INTEGER) AS cluster, true AS optimal
+FROM f, (SELECT DISTINCT cluster AS c FROM emb)""")
+def cv_gradient(spark, folder):
+    """Of each fold's router, on the rows it was trained on: expected and actual rows of every class agree, which
+    holds at the optimum alone, and each column's mean under the model's probabilities differs from its mean in
+    the class by the penalty alone. Summed here from the rows, by code that shares nothing with the fit."""
+    df, models = router_folds(spark, folder)
+    present = sorted(x[0] for x in df.select("cluster").distinct().collect())
+    out = []
+    for model in models:
+        train = df.filter(F.col("fold") != model.left_out)
+        gradient = C.softmax_gradient(train, EMBEDDING_FEATURES, "cluster", model)
+        gradient[:, 1:] += model.coefficients / (model.c * train.count())
+        out += [(model.left_out, k, bool(np.abs(gradient[k]).max() < 1e-7)) for k in present]
+    release(df)
+    return spark.createDataFrame(out, "left_out int, cluster int, optimal boolean")
 
 
 @query("segment_agreement", "SELECT count(*) AS n, true AS shares_add_up FROM customer")
