@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratascore.operators import neighbors
+from stratascore.operators.forest import ForestVote, fit_forest
 from stratascore.operators.split import assign_folds
 from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage
 from stratascore.session import drop_path, laid_out, scratch_path
@@ -232,6 +233,9 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
     weighted = {"weightCol": weight} if learner.balanced else {}
     if learner.kind == "lr":
         model = fit_logistic(logistic(p.get("c", 1.0), n, label, weight=w, **_cols(name)), train)
+    elif learner.kind == "rf" and p.get("per_bag"):
+        trees = fit_forest(train, FEATURES, p.get("trees", 100), p.get("depth") or 0, key, label, seed)
+        return [ForestVote(FEATURES, f"p_{name}", trees)]
     elif learner.kind == "rf":
         model = RandomForestClassifier(
             featuresCol=FEATURES, labelCol=label, numTrees=p.get("trees", 100),

@@ -20,6 +20,7 @@ from stratascore.operators import reduce as D
 from stratascore.operators import segment as G
 from stratascore.operators import split as B
 from stratascore.operators import stack as S
+from stratascore.operators.forest import bag_counts_sql, bag_weights
 from stratascore.operators.resample import add_class_weight
 from stratascore.operators.transform import MinMaxSelected, Standardizer, VarianceFilter
 from stratascore.plans import checks as C
@@ -373,6 +374,21 @@ for _name, _learner in LEARNERS.items():
     query(_name, f"WITH {DOCUMENT} SELECT id, label, true AS sound FROM docs")(learner_query(_learner))
 
 
+@query("bag_weights", f"""WITH {DOCUMENT}, bag AS (SELECT label, CAST(tree AS INTEGER) AS tree, {bag_counts_sql('id', 20, 42)} AS copies FROM docs, range(20) r(tree)),
+g AS (SELECT tree, label, CAST(sum(copies) AS BIGINT) AS n FROM bag GROUP BY tree, label HAVING sum(copies) > 0)
+SELECT tree, label, n, round(CAST(sum(n) OVER (PARTITION BY tree) AS DOUBLE) / (count(*) OVER (PARTITION BY tree) * n), 9) AS weight FROM g""")
+def bag_weights_rows(spark, folder):
+    """Copies of each class in twenty bootstrap samples, and its weight in each of them."""
+    rows = bag_weights(document_features(spark, folder), 20)
+    return rows.select("tree", "label", "n", r("weight", 9))
+
+
+@query("rf_bag_score")
+def rf_bag_score(spark, folder):
+    """Every row with the probability of a forest whose class weights are balanced in each bag, and the prediction."""
+    return learner_rows(M.Learner("rf", "rf", {"trees": 100, "depth": 8, "per_bag": True}), spark, folder)
+
+
 SCALED = ", ".join(f"({f} - avg({f}) OVER ()) / coalesce(nullif(stddev_pop({f}) OVER (), 0), 1) AS {f}" for f in DOCUMENT_FEATURES)
 GAPS = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in DOCUMENT_FEATURES)
 

@@ -68,8 +68,8 @@ def _lr(c: float = 1.0, balanced: bool = True, name: str = "lr") -> Learner:
     return Learner(name, "lr", {"c": c}, balanced)
 
 
-def _rf(trees: int, depth: int | None) -> Learner:
-    return Learner("rf", "rf", {"trees": trees, "depth": depth})
+def _rf(trees: int, depth: int | None, per_bag: bool = False) -> Learner:
+    return Learner("rf", "rf", {"trees": trees, "depth": depth, **({"per_bag": True} if per_bag else {})})
 
 
 def _gbt(steps: int, depth: int, rate: float, rows: float = 1.0) -> Learner:
@@ -78,7 +78,7 @@ def _gbt(steps: int, depth: int, rate: float, rows: float = 1.0) -> Learner:
 
 def _reference() -> dict[str, Recipe]:
     wide_bases = (
-        _gbt(100, 5, 0.1, 0.8), Learner("svc", "rbf_svc", {"c": 10.0}), _rf(100, 10), _lr(1.0),
+        _gbt(100, 5, 0.1, 0.8), Learner("svc", "rbf_svc", {"c": 10.0}), _rf(100, 10, per_bag=True), _lr(1.0),
     )
     l1_bases = (_lr(1.0), _rf(200, 8), _gbt(200, 3, 0.05))
     l1 = dict(drop_constants=True, l1_c=0.01, note="L1 selection, LR + RF + GBT, LR meta, tuned threshold")
