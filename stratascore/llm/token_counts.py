@@ -40,8 +40,12 @@ class PieceTrie:
     """Forward scores per prefix. A character outside all pieces becomes its UTF-8 bytes, one token each."""
 
     def __init__(self, pieces: dict[str, float], nodes: int = NODES):
-        self.pieces, self.nodes = pieces, nodes
-        self.longest = max(map(len, pieces), default=1)
+        self.nodes = nodes
+        self.tails: dict[str, float] = {}  # every ending of a piece, with the score of those that are pieces themselves
+        for piece in pieces:
+            for start in range(len(piece) - 1, 0, -1):
+                self.tails.setdefault(piece[start:], -math.inf)
+        self.tails |= pieces
         self.byte = min(pieces.values(), default=0.0) - 10.0
         self.clear()
 
@@ -51,16 +55,17 @@ class PieceTrie:
         self.counts: dict[bytes, int] = {}
 
     def _forward(self, text: str, end: int, score: list[float], tokens: list[int], path: list[int]) -> tuple[float, int]:
-        """Best score of ``text[:end]`` and its tokens (fewer tokens win a tie), from the prefixes before it."""
+        """Best score of ``text[:end]`` and its tokens (fewer tokens win a tie), from the prefixes before it, nearest first."""
         best, least = -math.inf, 0
-        get = self.pieces.get
-        for start in range(max(0, end - self.longest), end):
-            own = get(text[start:end])
-            if own is not None:
-                at = path[start]
-                found, n = score[at] + own, tokens[at] + 1
-                if found > best or (found == best and n < least):
-                    best, least = found, n
+        tail = self.tails.get
+        for start in range(end - 1, -1, -1):
+            own = tail(text[start:end])
+            if own is None:
+                break  # no piece ends like this, so none begins further left
+            at = path[start]
+            found, n = score[at] + own, tokens[at] + 1
+            if found > best or (found == best and n < least and found > -math.inf):
+                best, least = found, n
         if best == -math.inf:
             spread, at = len(text[end - 1].encode("utf-8", "replace")), path[end - 1]
             best, least = score[at] + spread * self.byte, tokens[at] + spread
