@@ -10,7 +10,7 @@ asked for is read off the gadgets once and then stands in the table of arcs.
 
 A word is encoded by following arcs, the longest label that fits first. A position of the word belongs
 to one path only, so a position without a way on is marked and never tried again: work is linear in the
-length of the word. Words repeat, so each task keeps the codes of at most ``WORDS`` words.
+length of the word. Words repeat, so each worker keeps the codes of the last ``WORDS`` to twice as many.
 
 Texts are cut into words by the pattern of the byte-level vocabularies. What counts as a letter there
 depends on the Unicode version of the library that defines it, so the library is asked once for all
@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 200_000
+WORDS = 100_000
 ARCS = 1 << 20
-OUT_TOKENS = 1 << 20  # tokens of one output batch, after which the next text begins a new one
+OUT_TOKENS = 1 << 19  # tokens of one output batch, after which the next text begins a new one
 MOST_TOKENS = 1 << 20
 ALWAYS = 1 << 40
 ASKED = 1 << 12  # code points in one question to the library
@@ -53,9 +53,10 @@ def _ranges(points: Sequence[int]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last))
 
 
-def word_pattern(letter: str = r"\p{L}", numeral: str = r"\p{N}") -> str:
+def word_pattern(letter: str = r"\p{L}", numeral: str = r"\p{N}", blank: str = r"\s") -> str:
     """How byte-level vocabularies cut a text into words (fixed)."""
-    return rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{numeral}]+| ?[^\s{letter}{numeral}]+|\s+(?!\S)|\s+"
+    other = rf"[^{blank}{letter}{numeral}]+"
+    return rf" ?[{letter}]+| ?[{numeral}]+|'(?:[stmd]|re|ve|ll)| ?{other}|[{blank}]+(?![^{blank}])|[{blank}]+"
 
 
 def _classes_of(splitter) -> tuple[str, str, str]:
@@ -151,99 +152,104 @@ def load_tokenizer(path: str) -> dict:
     }
 
 
-class TokenMachine:
-    """Encoder and decoder of one worker, on the tables of ``load_tokenizer``."""
+class TokenMachine(dict):
+    """Encoder of one worker on the tables of ``load_tokenizer``; as a dict it holds the tokens of words it has met."""
 
     def __init__(self, tables: dict):
+        super().__init__()
         import regex
 
+        self.earlier: dict[str, tuple[int, ...]] = {}
         self.tables, self.labels, self.size = tables, tables["labels"], tables["size"]
         self.ids = {label: n for n, label in enumerate(self.labels) if tables["made"][n] >= 0}
-        self.reach: dict[bytes, int] = {}  # the longest label that begins with three bytes
+        widths: dict[bytes, set[int]] = {}  # the widths of labels that begin with the same three bytes
         for label in self.ids:
-            self.reach[label[:3]] = max(len(label), self.reach.get(label[:3], 1))
+            widths.setdefault(label[:3], {1, 2}).add(len(label))
+        self.widths = {start: tuple(sorted(own, reverse=True)) for start, own in widths.items()}
         self.arcs: dict[int, bool] = {}
-        self.seen: dict[str, tuple[int, ...]] = {}
         self.words = regex.compile(word_pattern()).findall
         self.odd_words = regex.compile(word_pattern(tables["letter"], tables["numeral"])).findall
         self.is_odd = regex.compile(f"[{tables['odd']}]").search if tables["odd"] else lambda text: None
-        self.low_odd = self.is_odd("".join(map(chr, range(256)))) is not None
+        self.low_words = None
+        low = "".join(map(chr, range(256)))
+        if self.is_odd(low) is None:  # one-byte texts are cut with plain classes, which takes under half of the time
+            kinds = [_ranges(sorted(map(ord, regex.findall(kind, low)))) for kind in (r"\p{L}", r"\p{N}", r"\s")]
+            self.low_words = re.compile(word_pattern(*kinds)).findall
         self.cut_added = re.compile(f"({tables['added_pattern']})").split if tables["added"] else None
 
-    def arc(self, x: int, y: int) -> bool:
-        key = x * self.size + y
-        known = self.arcs.get(key)
-        if known is None:
-            if len(self.arcs) >= ARCS:
-                self.arcs.clear()
-            known = self.arcs[key] = has_arc(self.tables, x, y)
-        return known
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= WORDS:  # words that are met again before this happens next stay
+            self.earlier = dict(self)
+            self.clear()
+        found = self.earlier.get(word)
+        if found is None:
+            found = self.word(word.encode("utf-8", "replace"))
+        self[word] = found
+        return found
+
+    def arc(self, key: int) -> bool:
+        if len(self.arcs) >= ARCS:
+            self.arcs.clear()
+        found = self.arcs[key] = has_arc(self.tables, *divmod(key, self.size))
+        return found
 
     def word(self, word: bytes) -> tuple[int, ...]:
         """The labels on the one path that spells ``word``."""
-        end, at, last = len(word), 0, -1
+        end, at, last, below = len(word), 0, -1, MOST_TOKENS
         path: list[int] = []
         closed: set[int] = set()
-        ids, reach, labels = self.ids.get, self.reach.get, self.labels
-        width = min(reach(word[:3], 2), end)
+        ids, widths, labels, arcs, size = self.ids.get, self.widths.get, self.labels, self.arcs.get, self.size
         while at < end:
-            while width:
-                token = ids(word[at : at + width])
-                if token is not None and at + width not in closed and (last < 0 or self.arc(last, token)):
-                    break
-                width -= 1
-            if width:
+            for width in widths(word[at : at + 3], (2, 1)):
+                stop = at + width
+                if stop > end or width >= below or stop in closed:
+                    continue
+                token = ids(word[at:stop])
+                if token is None:
+                    continue
+                if last >= 0:
+                    key = last * size + token
+                    known = arcs(key)
+                    if not (self.arc(key) if known is None else known):
+                        continue
                 path.append(token)
-                at, last = at + width, token
-                width = min(reach(word[at : at + 3], 2), end - at)
-            else:
+                at, last, below = stop, token, MOST_TOKENS
+                break
+            else:  # no way on from here: back one label, to a shorter one
                 closed.add(at)
-                width = len(labels[path.pop()])
-                at -= width
-                width -= 1
+                below = len(labels[path.pop()])
+                at -= below
                 last = path[-1] if path else -1
         return tuple(path)
 
     def split(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.words(text)
-        if not self.low_odd:
+        if self.low_words is not None:
             try:
                 text.encode("latin-1")
-                return self.words(text)
+                return self.low_words(text)
             except UnicodeEncodeError:
                 pass
         return self.odd_words(text) if self.is_odd(text) else self.words(text)
 
-    def _plain(self, text: str) -> Iterator[int]:
-        """Tokens of a text without added tokens."""
-        words, known = self.split(text), self.seen
-        try:
-            return chain.from_iterable(list(map(known.__getitem__, words)))
-        except KeyError:
-            own = {w: known.get(w) for w in set(words)}
-            for w, codes in own.items():
-                if codes is None:
-                    own[w] = self.word(w.encode("utf-8", "replace"))
-            if len(known) + len(own) > WORDS:
-                known.clear()
-            if len(own) <= WORDS:
-                known.update(own)
-            return chain.from_iterable(map(own.__getitem__, words))
-
     def encode(self, text: str | None) -> Iterator[int]:
         if not text:
             return iter(())
         added = self.tables["added"]
         if not any(content in text for content in added):
-            return self._plain(text)
+            return chain.from_iterable(list(map(self.__getitem__, self.split(text))))
         parts = self.cut_added(text)
-        return chain.from_iterable((added[p],) if i % 2 else self._plain(p) for i, p in enumerate(parts) if p)
+        return chain.from_iterable((added[p],) if i % 2 else chain.from_iterable(map(self.__getitem__, self.split(p))) for i, p in enumerate(parts) if p)
+
 
-    def decode(self, ids: Sequence[int]) -> str:
-        """The labels one after the other, read as UTF-8; broken sequences become U+FFFD, unknown ids nothing."""
-        labels, n = self.labels, len(self.labels)
-        return b"".join([labels[i] for i in ids if 0 <= i < n]).decode("utf-8", "replace")
+def text_of(labels: Sequence[bytes], ids: Sequence[int]) -> str:
+    """The labels one after the other, read as UTF-8; broken sequences become U+FFFD, ids without a label nothing."""
+    try:
+        if min(ids, default=0) < 0:
+            raise IndexError
+        emitted = list(map(labels.__getitem__, ids))
+    except IndexError:
+        emitted = [labels[i] for i in ids if 0 <= i < len(labels)]
+    return b"".join(emitted).decode("utf-8", "replace")
 
 
 def _machine(tables: dict) -> TokenMachine:
@@ -280,14 +286,14 @@ def encode(docs: DataFrame, tables: dict, text: str = "text", key: str = "doc_id
 
 def decode(tokens: DataFrame, tables: dict, ids: str = "ids") -> DataFrame:
     """``tokens`` with the column ``decoded``: the text of ``ids``. Null and empty lists give an empty text, null ids nothing."""
-    shared = tokens.sparkSession.sparkContext.broadcast(tables)
+    shared = tokens.sparkSession.sparkContext.broadcast(tables["labels"])
 
     @F.arrow_udf("string")
     def texts(column: pa.Array) -> pa.Array:
-        machine, at = _machine(shared.value), column.offsets.to_numpy()
+        labels, at = shared.value, column.offsets.to_numpy()
         numbers = column.values.fill_null(-1).to_numpy(zero_copy_only=False)
         filled = column.is_valid().to_numpy(zero_copy_only=False)
-        return pa.array([machine.decode(numbers[a:b].tolist()) if ok else "" for a, b, ok in zip(at, at[1:], filled)], pa.string())
+        return pa.array([text_of(labels, numbers[a:b].tolist()) if ok else "" for a, b, ok in zip(at, at[1:], filled)], pa.string())
 
     return tokens.withColumn("decoded", texts(F.col(ids)))
 
