@@ -25,6 +25,7 @@ from stratascore.session import kept_between_passes
 
 BLOCK = 64  # entries of a sum in one row of the aggregate
 ROWS = 4096  # rows that a task compares at once
+ROWS_PER_TASK = 512  # at least; a task of fewer rows would send more than it reads
 DRAW_ROUNDS = 2
 PER_ROUND = 2  # candidates a round, in multiples of k
 MOST_SUMS = 1 << 22  # sums of one task, and of all tasks that the driver adds itself
@@ -241,10 +242,11 @@ def fit_kmeans(df: DataFrame, vector: str, k: int, restarts: int = 20, max_iter:
 
 def _described(rows: DataFrame) -> _Table | None:
     """Row count, width, largest entry and mean variance; None for an empty table."""
-    one = rows.agg(F.sum("w").alias("n"), F.max(F.size("x")).alias("width"), F.max(F.array_max(F.transform("x", F.abs))).alias("largest")).first()
+    one = rows.agg(F.sum("w").alias("n"), F.count("*").alias("held"), F.max(F.size("x")).alias("width"), F.max(F.array_max(F.transform("x", F.abs))).alias("largest")).first()
     if not one["n"]:
         return None
-    table = _Table(rows, one["n"], one["width"], one["largest"], 0.0, rows.rdd.getNumPartitions())
+    tasks = max(1, min(rows.rdd.getNumPartitions(), one["held"] // ROWS_PER_TASK))
+    table = _Table(rows.coalesce(tasks), one["n"], one["width"], one["largest"], 0.0, tasks)
     mean = _sums(table, {0: np.zeros((1, table.width))})[0]
     centre = mean[1] / table.n
     table.variance = _sums(table, {0: centre}, sums=False)[0][2] / table.width / max(table.n - 1, 1)
