@@ -6,7 +6,9 @@ import pytest
 from conftest_llm import prose
 
 from stratascore.llm.decontamination import HammingBlocks, ItemIndex, contaminated, keep_clean, weighted_similarity
-from stratascore.llm.substring_dedup import FUNCTIONS, agreeing_places, compact_windows, repeated_passages, shingle_codes, similar_passages
+from stratascore.llm.substring_dedup import (
+    FUNCTIONS, WIDTH, _open_starts, _reduced, agreeing_places, compact_windows, repeated_passages, shingle_codes, similar_passages,
+)
 
 
 def test_compact_windows_by_definition():
@@ -39,6 +41,37 @@ def test_interval_join_by_definition():
         assert agreeing_places(anchors, 10, 2) == want
 
 
+def test_open_starts_by_definition():
+    rng = random.Random(11)
+    for _ in range(200):
+        n = rng.randint(1, 200)
+        places = [(rng.randrange(n + WIDTH - 1), rng.randrange(120), rng.randrange(120)) for _ in range(rng.randint(0, 3))]
+        spans = [(s, s + rng.randint(1, 150)) for s in (rng.randrange(n) for _ in range(rng.randint(0, 2)))]
+        want = [s for s in range(n) if any(c - left <= s <= c <= s + WIDTH - 1 <= c + right for c, left, right in places)
+                and not any(x <= s and s + WIDTH <= y for x, y in spans)]
+        packed = np.array([(c << 32) | (left << 16) | right for c, left, right in places], np.int64)
+        assert _open_starts(packed, spans, n).tolist() == want
+
+
+def test_equal_stretches_of_a_task():
+    """Every code goes on once; all other documents that have it are linked to the one that goes on."""
+    rng = random.Random(12)
+    for _ in range(50):
+        held = sorted({(rng.randrange(4), rng.randrange(30)) for _ in range(rng.randint(1, 40))})
+        code = {x: rng.randrange(12) if rng.random() < 0.5 else 100 + x[1] for x in held}
+        lone = [(d, np.array([s]), np.array([code[d, s]])) for d, s in held]
+        out = _reduced(lone + lone[:2]).reindex(columns=["doc_id", "start_word", "end_word", "other_doc_id", "other_start", "other_end", "code"])
+        going, met = out[out["code"].notna()], out[out["code"].isna()]
+        first = {c: min(x for x in held if code[x] == c) for c in code.values()}
+        assert sorted(zip(going["doc_id"], going["start_word"], strict=True)) == [x for x in held if first[code[x]][0] == x[0]]
+        links = met.astype("int64", errors="ignore").to_dict("records")
+        for d, s in held:
+            other, at = first[code[d, s]]
+            if other != d:
+                assert any(r["doc_id"] == d and r["start_word"] <= s and s + 50 <= r["end_word"] and r["other_doc_id"] == other
+                           and r["other_start"] - r["start_word"] == at - s for r in links)
+
+
 def make_documents(spark):
     """Passages of 51 to 200 words, exact and with a changed word, in documents that share nothing else."""
     rng = random.Random(5)
