@@ -25,13 +25,21 @@ MIN_SHARE = 0.002  # an n-gram belongs to a language if this share of its sample
 MAX_LANGUAGES = 1024
 PIECE = 1 << 20
 MIN_SCORE = 0.5
-LETTERS = re.compile(r"[^\W\d_]+")
+RUNS = re.compile(r"[^\W\d_]+")  # letters, and numerals such as fractions
+
+
+def _words(text: str) -> list[str]:
+    """Runs of ``str.isalpha``."""
+    words = RUNS.findall(text)
+    if "".join(words).isalpha():
+        return words
+    return "".join([c if c.isalpha() else " " for c in " ".join(words)]).split(" ")
 
 
 def _pieces(text: str) -> Iterator[str]:
     """The text's words of letters in lower case between blanks, in pieces of bounded length."""
     for at in range(0, len(text), PIECE):
-        words = LETTERS.findall(text[at : at + PIECE].lower())
+        words = [w for w in _words(text[at : at + PIECE].lower()) if w]
         if words:
             yield " " + " ".join(words) + " "
 
@@ -120,7 +128,7 @@ def fit_filter(docs: DataFrame, text: str = "text", label: str = "lang", key: st
     names = sorted(sizes)
     if not names:
         return LanguageFilter([], np.zeros((2, 1), np.uint8))
-    least = F.coalesce(*[F.when(F.col("label") == x, F.lit(max(2.0 if n >= 20 else 1.0, MIN_SHARE * n))) for x, n in sizes.items()])
+    least = F.coalesce(*[F.when(F.col("label") == x, F.lit(max(1.0, MIN_SHARE * n))) for x, n in sizes.items()])
     number = F.coalesce(*[F.when(F.col("label") == x, F.lit(i)) for i, x in enumerate(names)])
     grams = sample.mapInPandas(gather, "label string, gram bigint, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
     grams = grams.where(F.col("n") >= least).select(number.alias("language"), "gram")
