@@ -6,7 +6,7 @@ line; the cumulative demand of the ramp, inverted, turns each place on that line
 run, and documents are range-sorted by that moment.
 
 A source may hold a third of all rows, so no running sum goes over a whole source: documents are
-hashed into ``BUCKETS`` stretches per source, the stretches are summed first (combined before the
+hashed into stretches per source, more of them for more rows, the stretches are summed first (combined before the
 shuffle), and the running sum inside one stretch starts at the sum of the stretches before it.
 """
 
@@ -23,14 +23,20 @@ from stratascore.session import materialize
 
 RAMPS = ((7.5, 2.5), (2.0, 2.0), (0.5, 1.5))  # (first, last) weight: means 5, 2, 1
 MAX_REPEATS = 3
-BUCKETS = 4096
+BUCKETS = 4096  # stretches a source, at least
+ROWS_PER_STRETCH = 1 << 14  # on average, if one source held all rows
 
 
 def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def _place(docs: DataFrame, text: str, key: str, source: str) -> DataFrame:
+def stretches_of(rows: int) -> int:
+    """Stretches a source: a power of two that keeps them short. The result does not depend on it."""
+    return min(1 << 31, max(BUCKETS, 1 << max(0, rows // ROWS_PER_STRETCH).bit_length()))
+
+
+def _place(docs: DataFrame, text: str, key: str, source: str, buckets: int) -> DataFrame:
     """``docs`` with its size, its hash and the stretch it falls in."""
     placed = docs.withColumns({
         "__size": words_of(F.col(text)),
@@ -38,7 +44,7 @@ def _place(docs: DataFrame, text: str, key: str, source: str) -> DataFrame:
         "__name": F.coalesce(F.col(source), F.lit("")),
         "__none": F.col(source).isNull(),
     })
-    return placed.withColumn("__stretch", F.floor(F.col("__hash") / F.lit((1 << 32) // BUCKETS)).cast("int"))
+    return placed.withColumn("__stretch", F.floor(F.col("__hash") / F.lit((1 << 32) // buckets)).cast("bigint"))
 
 
 def source_targets(sizes: DataFrame, ramps: Sequence[tuple[float, float]] = RAMPS,
@@ -70,12 +76,14 @@ def source_targets(sizes: DataFrame, ramps: Sequence[tuple[float, float]] = RAMP
 
 def plan_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
              ramps: Sequence[tuple[float, float]] = RAMPS, max_repeats: int = MAX_REPEATS,
-             extra: Sequence[str] = ()) -> DataFrame:
+             extra: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """One row per row of ``docs``: key, ``extra`` columns, ``size, source_size, target, copies, taken, moments``.
 
     A source's documents stand in hash order. Each is taken as often as the target holds the whole
     source; the words left over go to the documents at the front, so a source misses its target by
-    at most half a document. ``moments`` has one place in 0..1 for each copy.
+    at most half a document. ``moments`` has the training position of each copy, ascending: the share of the
+    run, 0..1, at which the source's cumulative demand reaches the middle of the document. ``buckets`` is the
+    number of stretches, by default from the number of rows; it changes no result.
 
     Null text has size 0; a null source is a source of its own, the last; a null key hashes like an
     empty one. Rows that tie in hash, key and size are alike, so their order does not matter, and
@@ -83,14 +91,15 @@ def plan_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: s
     a column called ``size`` or ``target`` in ``docs`` is not read.
     """
     place = ["__none", "__name", "__stretch"]
-    alone = materialize(_place(docs.select(key, text, source), text, key, source)
+    buckets = buckets or stretches_of(docs.count())
+    alone = materialize(_place(docs.select(key, text, source), text, key, source, buckets)
                         .groupBy(*place).agg(F.sum("__size").alias("__words")), "mix-stretches")
     sources = source_targets(alone.groupBy("__none", "__name").agg(F.sum("__words").alias("source_size")),
                              ramps, max_repeats)
     before = Window.partitionBy("__none", "__name").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
     offsets = alone.withColumn("__before", F.coalesce(F.sum("__words").over(before), F.lit(0))).drop("__words")
     offsets = offsets.join(sources, ["__none", "__name"])
-    wide = _place(docs.select(*dict.fromkeys([key, text, source, *extra])), text, key, source)
+    wide = _place(docs.select(*dict.fromkeys([key, text, source, *extra])), text, key, source, buckets)
     wide = wide.select(*place, "__size", "__hash", *dict.fromkeys([key, *extra]))
     inside = Window.partitionBy(*place).orderBy("__hash", key, "__size").rowsBetween(Window.unboundedPreceding, -1)
     rows = wide.withColumn("__inside", F.coalesce(F.sum("__size").over(inside), F.lit(0)))
@@ -116,6 +125,18 @@ def plan_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: s
     )
 
 
+def mix_positions(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """One row per row of ``docs``, range-sorted by its first training position; rows that are not taken come last.
+
+    Key, ``size, source_size, target, copies, taken`` and ``first_position, last_position``, both null for a
+    row without copies. Equal positions are ordered by key. Nulls, ties and empty tables as in ``plan_mix``.
+    """
+    plan = plan_mix(docs, text, key, source, **options)
+    first, last = F.get("moments", F.lit(0)), F.get("moments", F.size("moments") - 1)
+    placed = plan.withColumns({"first_position": first, "last_position": last}).drop("moments")
+    return placed.orderBy(F.asc_nulls_last("first_position"), key)
+
+
 def mixed_order(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
     """The training run: each row of ``docs`` as often as it is taken, all columns kept, in order of its moment.
 
@@ -146,16 +167,22 @@ levels AS (
          / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv
   FROM weighted WINDOW o AS (ORDER BY cap / w, source NULLS LAST)),
 targets AS (
-  SELECT source, n, least(cap, coalesce((SELECT lv FROM levels WHERE cap > lv * w ORDER BY pos LIMIT 1) * w, cap)) AS target
+  SELECT source, n, CASE w WHEN 5 THEN -0.5::DOUBLE WHEN 2 THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END AS slope, least(cap, coalesce((SELECT lv FROM levels WHERE cap > lv * w ORDER BY pos LIMIT 1) * w, cap)) AS target
   FROM levels),
 placed AS (
-  SELECT d.doc_id, d.size, t.n, t.target,
+  SELECT d.doc_id, d.size, t.n, t.target, t.slope,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + d.size / 2.0::DOUBLE AS middle,
          CASE WHEN t.n > 0 THEN least(floor(t.target / t.n), 3) ELSE 0 END::INT AS whole
-  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, n::BIGINT AS source_size, target,
-       (size * (whole + CASE WHEN whole < 3 AND middle < target - whole * n THEN 1 ELSE 0 END))::BIGINT AS taken,
-       (whole + CASE WHEN whole < 3 AND middle < target - whole * n THEN 1 ELSE 0 END)::INT AS copies
-FROM placed
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+counted AS (
+  SELECT *, (whole + CASE WHEN whole < 3 AND middle < target - whole * n THEN 1 ELSE 0 END)::INT AS copies FROM placed),
+demanded AS (
+  SELECT *, CASE WHEN copies > 0 THEN least(middle / target, 1) END AS u,
+         CASE WHEN copies > 0 THEN least(((copies - 1) * n + middle) / target, 1) END AS v
+  FROM counted)
+SELECT doc_id, size, n::BIGINT AS source_size, target, (size * copies)::BIGINT AS taken, copies,
+       CASE WHEN slope = 0 THEN u ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * u) - (1 - slope)) / (2 * slope) END AS first_position,
+       CASE WHEN slope = 0 THEN v ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * v) - (1 - slope)) / (2 * slope) END AS last_position
+FROM demanded
 """

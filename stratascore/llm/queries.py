@@ -25,8 +25,7 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    plan = mixing.plan_mix(read(spark, folder, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixing.mix_positions(read(spark, folder, "documents"))
 
 
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from oracle_check import compare
 
-from stratascore.llm.mixing import MIX_SQL, mixed_order, plan_mix, source_targets
+from stratascore.llm.mixing import MIX_SQL, mix_positions, mixed_order, plan_mix, source_targets
 from stratascore.llm.sharding import SHARD_SQL, shard
 
 
@@ -27,8 +27,7 @@ def load(con, docs):
 def test_mix_same_as_sql(request, spark, con, name):
     docs = request.getfixturevalue(name)
     load(con, docs)
-    got = lambda *_: plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
-    assert compare(spark, con, "", got, MIX_SQL) is None
+    assert compare(spark, con, "", lambda *_: mix_positions(docs), MIX_SQL) is None
 
 
 def shared_out(sizes, weights, times=3):
@@ -69,6 +68,32 @@ def test_mix_meets_targets_and_order(corpus):
     assert plan.drop(columns="moments").sort_values(key).reset_index(drop=True).equals(again.drop(columns="moments").sort_values(key).reset_index(drop=True))
 
 
+def test_positions_invert_the_demand(corpus):
+    """At the position of a copy the integrated ramp of its source has asked for the words up to its middle."""
+    plan = plan_mix(corpus, extra=["source"]).toPandas()
+    slopes = {"a": -0.5, "b": 0.0, "c": 0.5}
+    for name, own in plan.groupby("source"):
+        copies = own.explode("moments").dropna(subset="moments")
+        t, s = copies.moments.astype(float).to_numpy(), slopes.get(name)
+        if s is None:
+            continue
+        order = t.argsort(kind="stable")
+        size, t = copies["size"].to_numpy()[order], t[order]
+        asked = ((1 - s) * t + s * t * t) * own.target.iloc[0]
+        assert abs(asked - (size.cumsum() - size / 2)).max() < 1e-6 * own.target.iloc[0]
+    sent = mix_positions(corpus).toPandas().first_position
+    assert sent.dropna().is_monotonic_increasing and not sent.isna()[: sent.notna().sum()].any()
+    runs = [mix_positions(corpus, buckets=n).toPandas().sort_values(["doc_id", "size"], ignore_index=True) for n in (1, 1 << 16)]
+    assert runs[0].equals(runs[1])
+
+
+def test_order_of_the_run(corpus):
+    """Every copy stands where its position puts it."""
+    rows = plan_mix(corpus).collect()
+    want = [k for _, k in sorted((m, r.doc_id) for r in rows for m in r.moments)]
+    assert [r.doc_id for r in mixed_order(corpus).collect()] == want
+
+
 def test_mixed_rows(corpus, edges, no_docs):
     mixed = mixed_order(corpus)
     assert mixed.columns == corpus.columns
