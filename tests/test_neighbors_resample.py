@@ -49,6 +49,28 @@ def test_fewer_points_than_neighbours(spark):
     assert knn_join(q, p, 3, ["x", "y"], broadcast_bytes=0).count() == 10
 
 
+@pytest.mark.parametrize("width", [5, 48])
+def test_a_query_is_held_once_and_not_once_a_cell(spark, monkeypatch, width):
+    from stratascore.operators import neighbors
+
+    held, write = {}, neighbors.materialize
+
+    def noted(df, name, *more):
+        out = write(df, name, *more)
+        held[name] = out.count()
+        return out
+
+    monkeypatch.setattr(neighbors, "materialize", noted)
+    rng = np.random.RandomState(4)
+    names = [f"f{i}" for i in range(width)]
+    x = np.round(rng.normal(size=(2600, width)), 3)  # some gaps are equal
+    table = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(x)], "id bigint, " + ", ".join(f"{n} double" for n in names))
+    q, p = table.filter("id < 200"), table.filter("id >= 200")
+    got = collected(knn_join(q, p, 3, names, broadcast_bytes=0, chunk_rows=100))
+    assert got == brute(x[:200], range(200), x[200:], list(range(200, 2600)), 3, False)
+    assert held["knn-queries"] == 200
+
+
 def test_vote_is_the_share_of_positives(spark):
     p, px = points(spark)
     got = {r["id"]: r["probability"] for r in knn_vote(p, p, 1, ["x", "y"]).collect()}
