@@ -229,3 +229,15 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
 def test_vectors_of_a_table_without_rows(spark, wide, scorer):
     assert scorer.transform(wide.filter("id < 0").drop("label", "seg")).count() == 0
     assert VectorAssembler(inputCols=NAMES, outputCol="v").transform(wide.limit(0)).count() == 0
+
+
+def test_dimension_experiment_where_the_variance_filter_keeps_nothing(spark, tmp_path):
+    from stratascore.plans.queries_models import dimension_experiment
+
+    rng = np.random.RandomState(2)
+    x = rng.normal(size=(400, 64))
+    x[0], x[1] = 200, -200  # a wide range leaves every scaled column a small variance
+    rows = [(i, [float(v) for v in row], 9 if i % 5 == 0 else 1) for i, row in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {r["method"]: (r["n_pos"], r["sound"]) for r in dimension_experiment(spark, str(tmp_path)).collect()}
+    assert got == {m: (80, True) for m in ("none", "variance", "pca_15", "pca_4", "pca_1")}
