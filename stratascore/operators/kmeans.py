@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 
 from stratascore.session import kept_between_passes
 
+ADDERS = 4  # tasks that add the sums of a pass
 BLOCK = 64  # entries of a sum in one row of the aggregate
 ROWS = 4096  # rows that a task compares at once
 ROWS_PER_TASK = 512  # at least; a task of fewer rows would send more than it reads
 DRAW_ROUNDS = 2
 PER_ROUND = 2  # candidates a round, in multiples of k
-MOST_SUMS = 1 << 22  # sums of one task, and of all tasks that the driver adds itself
+MOST_SUMS = 1 << 22  # sums of one task
+AT_DRIVER = 1 << 14  # sums of all tasks that the driver adds itself; a fit has hundreds of passes
 
 
 @dataclass
@@ -129,9 +131,9 @@ def _sums(table: _Table, centers: dict[int, np.ndarray], sums: bool = True) -> d
                                              ["at", "n", "cost", "part"])
 
     found = table.rows.mapInArrow(run, "at bigint, n bigint, cost bigint, part array<bigint>")
-    if table.tasks * sum(sizes) * blocks * BLOCK > MOST_SUMS:  # else the sums of all tasks are few enough to be added here
+    if table.tasks * sum(sizes) * blocks * BLOCK > AT_DRIVER:  # else the sums of all tasks are few enough to be added here
         each = [F.sum(F.get("part", F.lit(i))).alias(f"s{i}") for i in range(BLOCK)]
-        found = found.groupBy("at").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *each)
+        found = found.repartition(ADDERS, "at").groupBy("at").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *each)
         found = found.select("at", "n", "cost", F.array(*[f"s{i}" for i in range(BLOCK)]).alias("part"))
     sent = found.toArrow().combine_chunks()
     at, rows = sent["at"].to_numpy(), sum(sizes) * blocks

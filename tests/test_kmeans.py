@@ -80,3 +80,24 @@ def test_wide_vectors(spark):
     best = fit_kmeans(table(spark, rows), "features", 2, restarts=2, tol=0.0)[0]
     assert sorted(best.sizes) == [40, 40]
     assert np.allclose(sorted(best.centers.tolist()), sorted([rows[:40].mean(axis=0).tolist(), rows[40:].mean(axis=0).tolist()]))
+
+
+def test_a_pass_sends_the_driver_no_row_per_task(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.classic.dataframe import DataFrame as Table
+
+    from stratascore.operators import kmeans
+
+    sent, gather = [], Table.toArrow
+
+    def noted(df):
+        out = gather(df)
+        sent.append(out.num_rows)
+        return out
+
+    monkeypatch.setattr(Table, "toArrow", noted)
+    rows = spark.range(0, 16_384, 1, 32).select(F.array(F.sin("id"), F.cos("id")).alias("x"), F.lit(1).cast("bigint").alias("w"), F.xxhash64("id").alias("h"))
+    table = kmeans._Table(rows, 16_384, 2, 1.0, 1.0, 32)
+    centres = {r: np.array([[np.sin(c + r), np.cos(c + r)] for c in range(8)]) for r in range(20)}
+    found = kmeans._sums(table, centres)
+    assert sent == [160] and all(found[r][0].sum() == 16_384 for r in centres)
