@@ -2,8 +2,8 @@
 
 A bag is a Poisson(1) count per row and tree, drawn from a hash of the row's key, so any engine with md5
 can repeat it. The class weights of a bag come from one aggregate of those counts. Trees grow level by
-level, all trees together: a pass sends every row down the trees as they are and returns the weighted
-class counts per (open node, feature drawn for it, bin); the driver picks the splits. Nothing is kept
+level, all trees together: a pass sends every row down the trees as they are and counts copies per (open node,
+feature drawn for it, bin, class); where they are added the split is picked too, and the driver gets that alone. Nothing is kept
 between passes but the table, so a lost executor costs its part of one pass.
 """
 
@@ -22,7 +22,6 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratascore.operators.linear import summed
 from stratascore.operators.transform import _Stage
 from stratascore.session import kept_between_passes
 
@@ -31,6 +30,8 @@ MOST_COPIES = 9  # a Poisson(1) count is larger once in a million draws; such a
 PER_HASH = 4  # draws of 32 bits in one md5
 AT_ONCE = 1 << 22  # class counts of one pass: more open nodes take turns
 ROWS_PER_TASK = 256
+SLOTS_AT_ONCE = 1024  # open nodes in one batch of counts
+JUDGES = 16  # tasks that add the counts of a pass
 UNLIMITED = 30
 LEAF = -1
 
@@ -120,9 +121,13 @@ def bin_bounds(rows: DataFrame, width: int, bins: int = BINS) -> list[np.ndarray
     return [np.unique(one[f"q{i}"] or []) for i in range(width)]
 
 
-def _histograms(table: DataFrame, trees: list[Tree], weights: np.ndarray, open_nodes: list[tuple[int, int, np.ndarray]],
-                bounds: list[np.ndarray], tasks: int) -> np.ndarray:
-    """Weighted class counts per (open node, feature drawn, bin, class)."""
+def _splits(table: DataFrame, trees: list[Tree], weights: np.ndarray, open_nodes: list[tuple[int, int, np.ndarray]],
+            bounds: list[np.ndarray], tasks: int) -> list[tuple[np.ndarray, tuple[int, int] | None]]:
+    """Per open node the weighted count of each class and its best split: place of the feature and last bin of the left side.
+
+    Tasks return copies of each class per (open node, feature drawn, bin). They are added, weighted and judged where
+    they meet, so the driver gets five numbers a node.
+    """
     drawn = len(open_nodes[0][2])
     bins = max(map(len, bounds)) + 1
     shape = (len(open_nodes), drawn, bins, 2)
@@ -130,9 +135,10 @@ def _histograms(table: DataFrame, trees: list[Tree], weights: np.ndarray, open_n
     for slot, (tree, node, features) in enumerate(open_nodes):
         by_tree.setdefault(tree, []).append((slot, node, features))
     grown = {t: trees[t] for t in by_tree}
+    own_weights = weights[[tree for tree, _, _ in open_nodes]]
 
-    def per_task(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-        total, any_rows = np.zeros(shape), False
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, any_rows = np.zeros(shape, np.int64), False
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -142,16 +148,43 @@ def _histograms(table: DataFrame, trees: list[Tree], weights: np.ndarray, open_n
             copies = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
             codes = np.stack([np.searchsorted(b, x[:, i], side="left") for i, b in enumerate(bounds)], axis=1)
             for tree, nodes in by_tree.items():
-                at = grown[tree].places(x)
-                weight = copies[:, tree] * weights[tree][y]
+                drawn_rows = np.flatnonzero(copies[:, tree] > 0)
+                at = grown[tree].places(x[drawn_rows])
+                by = np.argsort(at, kind="stable")
+                drawn_rows, at = drawn_rows[by], at[by]
                 for slot, node, features in nodes:
-                    mine = np.flatnonzero((at == node) & (copies[:, tree] > 0))
+                    mine = drawn_rows[np.searchsorted(at, node) : np.searchsorted(at, node, side="right")]
                     for place, f in enumerate(features):
-                        cells = np.bincount(codes[mine, f] * 2 + y[mine], weights=weight[mine], minlength=2 * bins)
-                        total[slot, place] += cells.reshape(bins, 2)
-        return total.ravel() if any_rows else None
+                        cells = np.bincount(codes[mine, f] * 2 + y[mine], weights=copies[mine, tree], minlength=2 * bins)
+                        total[slot, place] += cells.astype(np.int64).reshape(bins, 2)
+        if any_rows:
+            met = np.flatnonzero(total.any(axis=(1, 2, 3)))
+            flat = total[met].reshape(len(met), -1)
+            for start in range(0, len(met), SLOTS_AT_ONCE):
+                part = flat[start : start + SLOTS_AT_ONCE]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, part.size + 1, part.shape[1], dtype=np.int32)), pa.array(part.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(met[start : start + SLOTS_AT_ONCE]), lists], ["slot", "counts"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+            for slot, row in zip(batch.column(0).to_numpy().tolist(), rows):
+                held[slot] = held[slot] + row if slot in held else row.copy()
+        out = []
+        for slot, row in held.items():
+            counts = row.reshape(shape[1:]) * own_weights[slot]
+            classes = counts[0].sum(axis=0)
+            found = best_split(counts)
+            out.append((slot, float(classes[0]), float(classes[1]), *(found[1:] if found else (-1, -1))))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["slot", "n0", "n1", "place", "last"])
 
-    return summed(table, per_task, int(np.prod(shape)), tasks).reshape(shape)
+    counted = table.mapInArrow(count, "slot bigint, counts array<bigint>").repartition(max(1, min(tasks, JUDGES)), "slot")
+    found: list[tuple[np.ndarray, tuple[int, int] | None]] = [(np.zeros(2), None)] * len(open_nodes)
+    for row in counted.mapInArrow(judge, "slot bigint, n0 double, n1 double, place bigint, last bigint").toArrow().to_pylist():
+        found[row["slot"]] = (np.array([row["n0"], row["n1"]]), None if row["place"] < 0 else (row["place"], row["last"]))
+    return found
 
 
 def fit_forest(df: DataFrame, vector: str, trees: int = 100, depth: int = 0, key: str = "id", label: str = "label",
@@ -181,25 +214,24 @@ def fit_forest(df: DataFrame, vector: str, trees: int = 100, depth: int = 0, key
             following: list[tuple[int, int]] = []
             for start in range(0, len(level), turn):
                 part = [(t, node, features_drawn(seed, t, node, width)) for t, node in level[start : start + turn]]
-                for (t, node, features), counts in zip(part, _histograms(table, grown, weights, part, bounds, tasks)):
-                    following += _grow(grown[t], t, node, features, counts, bounds, depth or UNLIMITED)
+                for (t, node, features), (classes, found) in zip(part, _splits(table, grown, weights, part, bounds, tasks)):
+                    following += _grow(grown[t], t, node, features, classes, found, bounds, depth or UNLIMITED)
             level = following
             if not level:
                 break
     return grown
 
 
-def _grow(tree: Tree, number: int, node: int, features: np.ndarray, counts: np.ndarray, bounds: list[np.ndarray], depth: int) -> list[tuple[int, int]]:
+def _grow(tree: Tree, number: int, node: int, features: np.ndarray, classes: np.ndarray, found: tuple[int, int] | None,
+          bounds: list[np.ndarray], depth: int) -> list[tuple[int, int]]:
     """Close the node or split it; gives its children."""
-    classes = counts[0].sum(axis=0)
     total = classes.sum()
     tree.share[node] = float(classes[1] / total) if total > 0 else 0.0
     if tree.depth[node] >= depth or min(classes) <= 0:
         return []
-    found = best_split(counts)
     if found is None:
         return []
-    _, place, last = found
+    place, last = found
     f = int(features[place])
     tree.feature[node], tree.bound[node] = f, float(bounds[f][last])
     children = []

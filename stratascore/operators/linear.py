@@ -25,7 +25,7 @@ from stratascore.session import kept_between_passes
 
 CHUNK = 64  # sums in one row of the aggregate
 AT_ONCE = 1 << 22  # sums of one pass: more models take turns
-AT_DRIVER = 1 << 24  # sums of all tasks that the driver adds itself; more are added by an aggregate
+AT_DRIVER = 1 << 16  # sums of all tasks that the driver adds itself; more are added by an aggregate
 ROWS = 4096
 ROWS_PER_TASK = 512  # at least; a task of fewer rows would send more than it reads
 TOLERANCE = 1e-9  # of the mean gradient, or of the broken optimality condition

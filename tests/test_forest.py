@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -114,3 +115,20 @@ def test_edges(spark, vectors):
         fit_forest(vectors.where("id < 0"), "v", trees=2)
     same = vectors.limit(40).withColumn("v", F.first("v").over(Window.partitionBy(F.lit(1))))
     assert all(t.feature == [LEAF] for t in fit_forest(same, "v", trees=2))
+
+
+def test_the_driver_gets_splits_and_no_counts(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Table
+
+    sent, gather = [], Table.toArrow
+
+    def noted(df):
+        out = gather(df)
+        sent.append((out.num_rows, out.nbytes))
+        return out
+
+    monkeypatch.setattr(Table, "toArrow", noted)
+    rng = np.random.RandomState(8)
+    rows = [(i, int(a + b > 0), Vectors.dense([a, b, c, d])) for i, (a, b, c, d) in enumerate(rng.normal(size=(2000, 4)))]
+    fit_forest(spark.createDataFrame(rows, ["id", "label", "v"]).repartition(6), "v", trees=10, depth=4)
+    assert sent[0][0] == 10 and all(size <= 64 * n for n, size in sent)
