@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from stratascore.llm.common import lower_words
 from stratascore.session import materialize
 
-FREQUENT = 1 << 16  # words with an own number, by count in the sample
-SAMPLE_DOCS = 8_192  # documented bound: documents that choose the frequent words and their classes
+FREQUENT = 1 << 16  # words with an own number, by count in all training documents
+HELD_WORDS = 1 << 18  # different words that a task counts before it sends them
 BESIDE = 64
 CLASSES = 32
 BUCKETS = 1 << 15
@@ -133,22 +133,24 @@ def _clusters(points: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> np
 
 
 def learn_vocabulary(train: DataFrame) -> Vocabulary:
-    """From about ``SAMPLE_DOCS`` training rows drawn by hash: frequent words, clustered by their neighbours.
+    """Frequent words of all training rows, clustered by their neighbours there.
 
     The driver receives at most ``FREQUENT`` words and ``FREQUENT`` x ``BESIDE`` counts.
     """
-    n = train.count()
-    share = min(1.0, SAMPLE_DOCS / max(n, 1))
-    sample = train.where(F.pmod(F.xxhash64(F.lit("words"), "doc_id"), F.lit(1 << 30)) < share * (1 << 30)).select("text")
+    texts = train.select("text")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[bytes] = Counter()
         for frame in frames:
-            counts: Counter[bytes] = Counter()
             for text in frame["text"]:
                 counts.update(lower_words(text))
+                if len(counts) >= HELD_WORDS:
+                    yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+                    counts.clear()
+        if counts:
             yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
-    words = sample.mapInPandas(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    words = texts.mapInPandas(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     words = words.where(F.length("word") <= 1024).orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas()
     known = [bytes(w) for w in words["word"]]
     plain = Vocabulary(known, np.zeros(len(known)))
@@ -159,6 +161,8 @@ def learn_vocabulary(train: DataFrame) -> Vocabulary:
 
     def neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Vocabulary(shared.value, np.zeros(len(shared.value)))
+        size = len(shared.value) * BESIDE
+        total = np.zeros(size, np.int64)  # a task sends each pair once
         for frame in frames:
             for ids, starts, _, _ in _chunks(frame["text"], own):
                 at = np.arange(len(ids))
@@ -167,9 +171,13 @@ def learn_vocabulary(train: DataFrame) -> Vocabulary:
                 codes = np.concatenate([x[(x >= 0) & (y >= 0) & (y < beside)] * BESIDE + y[(x >= 0) & (y >= 0) & (y < beside)]
                                         for x, y in ((left, right), (right, left))])
                 found, n = np.unique(codes, return_counts=True)
-                yield pd.DataFrame({"code": found, "n": n})
+                total[found] += n
+        found = np.flatnonzero(total)
+        for start in range(0, len(found), 1 << 18):
+            part = found[start : start + (1 << 18)]
+            yield pd.DataFrame({"code": part, "n": total[part]})
 
-    pairs = sample.mapInPandas(neighbours, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    pairs = texts.mapInPandas(neighbours, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     points = np.zeros((len(known), BESIDE), np.float32)
     code = pairs["code"].to_numpy(np.int64)
     points[code // BESIDE, code % BESIDE] = np.sqrt(pairs["n"].to_numpy())
@@ -205,7 +213,8 @@ def score_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
                 listed = lower_words(txt)
                 ids = own.ids(listed)
                 if not out:
-                    np.add.at(counts, ids, 1)
+                    found, times = np.unique(ids, return_counts=True)
+                    counts[found] += times
                 rare = Counter(compress(listed, ids[:-1] == OTHER))
                 hashes.extend(map(xxhash.xxh64_intdigest, rare))
                 n.extend(rare.values())

@@ -202,3 +202,13 @@ def test_every_vector_has_one_leaf_a_tree():
     assert leaves.shape == (500, 3) and len(np.unique(leaves)) == forest.n_leaves
     walked = list(forest.walk(forest.margins(points[:1])[0]))
     assert sorted(walked) == list(range(forest.n_leaves)) and walked[0] in leaves[0]
+
+
+def test_words_and_classes_come_from_all_training_documents(spark, monkeypatch):
+    from stratascore.llm import lm_scoring
+
+    monkeypatch.setattr(lm_scoring, "SAMPLE_DOCS", 4, raising=False)  # the bound of a sample, which there was
+    monkeypatch.setattr(lm_scoring, "HELD_WORDS", 16, raising=False)
+    docs = spark.createDataFrame([(i, f"word{i} of text number{i} and word{i}") for i in range(300)], "doc_id bigint, text string").repartition(4)
+    known = lm_scoring.learn_vocabulary(docs).number
+    assert set(known) == {w.encode() for i in range(300) for w in (f"word{i}", f"number{i}", "of", "text", "and")}
