@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratascore.llm.common import lower_words
-from stratascore.session import materialize
+from stratascore.session import materialize, release
 
 FREQUENT = 1 << 16  # words with an own number, by count in all training documents
+PAIRS_AT_ONCE = 1 << 19  # counts that the driver receives at once
 HELD_WORDS = 1 << 18  # different words that a task counts before it sends them
 BESIDE = 64
 CLASSES = 32
@@ -177,10 +178,14 @@ def learn_vocabulary(train: DataFrame) -> Vocabulary:
             part = found[start : start + (1 << 18)]
             yield pd.DataFrame({"code": part, "n": total[part]})
 
-    pairs = texts.mapInPandas(neighbours, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    points = np.zeros((len(known), BESIDE), np.float32)
-    code = pairs["code"].to_numpy(np.int64)
-    points[code // BESIDE, code % BESIDE] = np.sqrt(pairs["n"].to_numpy())
+    pairs = texts.mapInPandas(neighbours, "code bigint, n bigint").groupBy("code").agg(F.sqrt(F.sum("n")).cast("float").alias("root"))
+    pairs = materialize(pairs, "lm-beside")
+    points = np.zeros(len(known) * BESIDE, np.float32)
+    for start in range(0, len(points), PAIRS_AT_ONCE):
+        part = pairs.where(F.col("code").between(start, start + PAIRS_AT_ONCE - 1)).toArrow()
+        points[part["code"].to_numpy()] = part["root"].to_numpy()
+    release(pairs)
+    points = points.reshape(-1, BESIDE)
     return Vocabulary(known, _clusters(points, CLASSES - 2) + 2)
 
 
