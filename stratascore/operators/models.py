@@ -37,6 +37,7 @@ class Learner:
     kind: str
     params: dict = field(default_factory=dict)
     balanced: bool = True
+    per_bag: bool = False  # rf: class weights of each bag's own; the param of that name says the same
 
 
 class ConstantModel:
@@ -233,7 +234,7 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
     weighted = {"weightCol": weight} if learner.balanced else {}
     if learner.kind == "lr":
         model = fit_logistic(logistic(p.get("c", 1.0), n, label, weight=w, **_cols(name)), train)
-    elif learner.kind == "rf" and p.get("per_bag"):
+    elif learner.kind == "rf" and (learner.per_bag or p.get("per_bag")):
         trees = fit_forest(train, FEATURES, p.get("trees", 100), p.get("depth") or 0, key, label, seed)
         return [ForestVote(FEATURES, f"p_{name}", trees)]
     elif learner.kind == "rf":

@@ -69,7 +69,7 @@ def _lr(c: float = 1.0, balanced: bool = True, name: str = "lr") -> Learner:
 
 
 def _rf(trees: int, depth: int | None, per_bag: bool = False) -> Learner:
-    return Learner("rf", "rf", {"trees": trees, "depth": depth, **({"per_bag": True} if per_bag else {})})
+    return Learner("rf", "rf", {"trees": trees, "depth": depth}, per_bag=per_bag)
 
 
 def _gbt(steps: int, depth: int, rate: float, rows: float = 1.0) -> Learner:
