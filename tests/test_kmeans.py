@@ -101,3 +101,20 @@ def test_a_pass_sends_the_driver_no_row_per_task(spark, monkeypatch):
     centres = {r: np.array([[np.sin(c + r), np.cos(c + r)] for c in range(8)]) for r in range(20)}
     found = kmeans._sums(table, centres)
     assert sent == [160] and all(found[r][0].sum() == 16_384 for r in centres)
+
+
+def test_passes_read_packed_blocks(spark):
+    """What a pass reads is a few blocks, not a row per vector, and its sums are exact, weights and ties included."""
+    rng = np.random.default_rng(4)
+    x, w = rng.normal(size=(20_000, 3)).round(3), rng.integers(1, 1000, 20_000)
+    rows = spark.createDataFrame([(r.tolist(), int(n), i) for i, (r, n) in enumerate(zip(x, w))], "x array<double>, w bigint, h bigint")
+    centres = {0: np.array([[1.0, 0, 0], [-1.0, 0, 0], [-1.0, 0, 0]]), 1: np.zeros((1, 3))}
+    with kmeans._table(rows.repartition(2)) as table:
+        assert table.rows.count() <= 16 and table.n == w.sum()
+        found = kmeans._sums(table, centres)
+        whole = np.rint(x * table.scale).astype(np.int64) * w[:, None]
+        scale = table.scale
+    for r, own in centres.items():
+        label = ((x[:, None] - own[None]) ** 2).sum(axis=2).argmin(axis=1)
+        for c in range(len(own)):
+            assert found[r][0][c] == w[label == c].sum() and np.array_equal(found[r][1][c], whole[label == c].sum(axis=0) / scale)
