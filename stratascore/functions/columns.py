@@ -73,8 +73,3 @@ def yeo_johnson(x: Column, lam: Column | float) -> Column:
         -(F.pow(1 - x, two - lam) - 1) / (two - lam)
     )
     return F.when(x >= 0, pos).otherwise(neg)
-
-
-def signed_log1p(x: Column) -> Column:
-    """``sign(x) * ln(1 + |x|)``, the Jacobian term of the power transform."""
-    return F.when(x >= 0, F.log1p(x)).otherwise(-F.log1p(-x))

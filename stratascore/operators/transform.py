@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stratascore.functions.columns import (
-    name_at, quoted, signed_log1p, sql_double, sql_doubles, sql_name, to_long, yeo_johnson,
+    name_at, quoted, sql_double, sql_name, yeo_johnson,
 )
 from stratascore.operators import schema
 from stratascore.operators.profile import collect_stats
@@ -156,8 +159,8 @@ class YeoJohnsonModel(_Stage, Transformer):
 class YeoJohnson(_Stage, Estimator):
     """Lambda per column by maximum likelihood: a grid, finer ones around its best, then a parabola.
 
-    One pass evaluates all columns and all their candidate lambdas: the rows are expanded inside
-    the map stage and summed before the shuffle, which carries columns x candidates rows. Only the
+    One pass evaluates all columns and all their candidate lambdas: a task takes the moments of its
+    batches, and the shuffle carries columns x candidates rows a task. Only the
     columns to fit are kept between the passes. The last step places lambda at the vertex of the
     parabola through the three best points, which is good to about 1e-5 on a smooth likelihood.
     """
@@ -211,15 +214,46 @@ def _peaks(rows: DataFrame, names: Sequence[str], grids: dict[str, list[float]])
 
 
 def power_likelihood(df: DataFrame, features: Sequence[str], grids: dict[str, Sequence[float]]) -> DataFrame:
-    """Log-likelihood of each candidate lambda of each feature: ``(feature, lam, loglik)``."""
-    candidates = F.expr("array(" + ", ".join(sql_doubles(grids[f]) for f in features) + ")")
-    x, lam = F.col("value"), F.col("lam")
-    rows = to_long(df, features).filter(x.isNotNull())
-    trials = rows.withColumn("jacobian", signed_log1p(x)).withColumn("lam", F.explode(candidates[F.col("pos")]))
-    sums = trials.groupBy("pos", "lam").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.var_pop(yeo_johnson(x, lam)).alias("var"),
+    """Log-likelihood of each candidate lambda of each feature: ``(feature, lam, loglik)``.
+
+    A task returns count, mean, squares around the mean and Jacobian per feature and candidate; missing values take no part.
+    """
+    items = ", ".join(f"nanvl(cast({sql_name(f)} as double), cast(null as double))" for f in features)
+    lams = [[float(v) for v in grids[f]] for f in features]
+
+    def bent(logs: np.ndarray, power: float) -> np.ndarray:
+        return logs if abs(power) < 1e-12 else np.expm1(power * logs) / power
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[0, 0.0, np.zeros(len(own)), np.zeros(len(own))] for own in lams]
+        with np.errstate(all="ignore"):  # overflow makes a candidate's likelihood undefined
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(lams))
+                for i, own in enumerate(lams):
+                    v = x[:, i][~np.isnan(x[:, i])]
+                    if not len(v):
+                        continue
+                    up, down = np.log1p(v[v >= 0]), np.log1p(-v[v < 0])
+                    n, jacobian, mean, squares = held[i]
+                    y = [np.concatenate([bent(up, lam), -bent(down, 2 - lam)]) for lam in own]
+                    new = np.array([t.mean() for t in y])
+                    apart = new - mean
+                    squares = squares + [((t - m) ** 2).sum() for t, m in zip(y, new)] + apart**2 * (n * len(v) / (n + len(v)))
+                    held[i] = [n + len(v), jacobian + up.sum() - down.sum(), mean + apart * (len(v) / (n + len(v))), squares]
+        rows = [(i, lam, n, float(jacobian), float(m), float(q)) for i, (n, jacobian, mean, squares) in enumerate(held) if n
+                for lam, m, q in zip(lams[i], mean, squares)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["pos", "lam", "n", "jacobian", "mean", "squares"])
+
+    parts = df.select(F.expr(f"array({items})").alias("x")).mapInArrow(
+        moments, "pos bigint, lam double, n bigint, jacobian double, mean double, squares double")
+    every = Window.partitionBy("pos", "lam")
+    grand = F.sum(F.col("n") * F.col("mean")).over(every) / F.sum("n").over(every)
+    gap = F.col("mean") - F.col("grand")
+    sums = parts.withColumn("grand", grand).groupBy("pos", "lam").agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.col("squares") + F.col("n") * gap * gap) / F.sum("n")).alias("var"),
         F.sum("jacobian").alias("jacobian"),
     )
-    loglik = -F.col("n") / 2 * F.log("var") + (lam - 1) * F.col("jacobian")
-    return sums.select(name_at(features, F.col("pos")).alias("feature"), "lam", loglik.alias("loglik"))
+    loglik = -F.col("n") / 2 * F.log("var") + (F.col("lam") - 1) * F.col("jacobian")
+    return sums.select(name_at(features, F.col("pos").cast("int")).alias("feature"), "lam", loglik.alias("loglik"))

@@ -162,3 +162,27 @@ def test_component_count_and_cap(spark, wide):
     scaled = T.Standardizer(names).fit(wide).transform(wide)
     model = PrincipalComponents(names, keep=0.999, max_components=2).fit(scaled)
     assert component_names(model) == ["pc1", "pc2"]
+
+
+def test_likelihoods_by_hand_without_a_row_per_candidate(spark):
+    """Both signs, missing values, an empty column and several tasks; no row is repeated for its candidates."""
+    import numpy as np
+
+    from stratascore.operators.transform import power_likelihood
+
+    rng = np.random.RandomState(5)
+    x = rng.normal(size=500) * 3 + 1
+    rows = [(None if i % 7 == 0 else float("nan") if i % 11 == 0 else float(v), None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(4)
+    lams = [-1.0, 0.0, 0.7, 2.0]
+    scores = power_likelihood(df, ["a", "b"], {"a": lams, "b": lams})
+    assert "Generate" not in scores._jdf.queryExecution().toString()
+    v = np.array([a for a, _ in rows if a is not None and a == a])
+    got = {r["lam"]: r["loglik"] for r in scores.collect() if r["feature"] == "a"}
+    assert sorted(got) == lams and scores.count() == 4
+    for lam in lams:
+        up = np.log1p(np.maximum(v, 0)) if lam == 0 else ((np.maximum(v, 0) + 1) ** lam - 1) / lam
+        down = -np.log1p(np.maximum(-v, 0)) if lam == 2 else -((np.maximum(-v, 0) + 1) ** (2 - lam) - 1) / (2 - lam)
+        y = np.where(v >= 0, up, down)
+        want = -len(v) / 2 * np.log(y.var()) + (lam - 1) * (np.sign(v) * np.log1p(np.abs(v))).sum()
+        assert abs(got[lam] - want) < 1e-9 * abs(want)
