@@ -7,7 +7,7 @@ from conftest_llm import prose
 
 from stratascore.llm.decontamination import HammingBlocks, ItemIndex, contaminated, keep_clean, weighted_similarity
 from stratascore.llm.substring_dedup import (
-    FUNCTIONS, WIDTH, _open_starts, _reduced, agreeing_places, compact_windows, repeated_passages, shingle_codes, similar_passages,
+    FUNCTIONS, WIDTH, _open_starts, _reduced, agreeing_places, alike_members, compact_windows, repeated_passages, shingle_codes, similar_passages,
 )
 
 
@@ -284,3 +284,58 @@ def test_items_with_a_replaced_block(n, blank):
         text = " ".join([*prose("en", 40, i).split(), *copy, *prose("en", 40, 100 + i).split()])
         want = brute_force(text, {i: own})
         assert {m[0]: m[3] for m in index.matches(text)} == pytest.approx(want) and want
+
+
+def test_members_alike_to_each_other_but_not_to_the_first(spark):
+    """All have one long line, the first document beside it nothing; two each also have the rest of a passage, with one word changed."""
+    line, pairs, texts = prose("en", 44, 61).split(), 60, []
+    for i in range(2 * pairs):
+        p = i % pairs
+        before, after = prose("fr", 5, 61_000 + p).split(), prose("fr", 6, 62_000 + p).split()
+        if i >= pairs:
+            after[0] = "changed"
+        texts.append((i + 1, " ".join([*prose("de", 40, 63_000 + i).split(), *before, *line, *after, *prose("de", 40, 64_000 + i).split()])))
+    texts.append((0, " ".join([*prose("de", 40, 65_000).split(), *line, *prose("de", 40, 65_001).split()])))
+    rows = repeated_passages(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(2)).collect()
+    words = {i: t.split() for i, t in texts}
+    for r in rows:
+        a, b = words[r.doc_id][r.start_word:r.end_word], words[r.other_doc_id][r.other_start:r.other_end]
+        assert weighted_similarity(grams(a), grams(b)) == pytest.approx(r.similarity) and r.similarity >= 0.8
+    assert {frozenset((r.doc_id, r.other_doc_id)) for r in rows} == {frozenset((p + 1, p + 1 + pairs)) for p in range(pairs)}
+
+
+def test_chain_of_alike_members():
+    """The second is alike to the first and to the third, which is not alike to the first; members of one block wait for their own group."""
+    words = [f"w{i}" for i in range(56)]
+    texts = [[*words[:15], "z", *words[16:]], words, [*words[:40], "y", *words[41:]]]
+    whole = [shingle_codes([w.encode() for w in x]) for x in texts]
+    assert not similar_passages(whole[0], whole[2], [(30, 30)]) and similar_passages(whole[0], whole[1], [(30, 30)])
+    held = [(doc, 7, 30, x.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()) for doc, x in enumerate(whole)]
+    found = alike_members([(0, *x) for x in held])
+    assert {(f[0], f[3]) for f in found} == {(1, 0), (2, 1)} and all(f[6] >= 0.8 and f[1] >= 7 and f[2] - f[1] >= 50 for f in found)
+    found = alike_members([(b, *x) for b, x in zip((0, 1, 1), held, strict=True)])
+    assert {(f[0], f[3]) for f in found} == {(1, 0)}
+
+
+def test_blocks_of_large_groups_and_copies(spark, monkeypatch):
+    """Blocks of a few members give the links that one group gives, and every copy has one."""
+    from stratascore.llm import substring_dedup
+
+    docs, _ = make_documents(spark)
+    want = components_of(repeated_passages(docs).collect())
+    monkeypatch.setattr(substring_dedup, "BLOCK", 2)
+    assert components_of(repeated_passages(docs).collect()) == want
+
+
+def components_of(rows):
+    parent = {i: i for r in rows for i in (r.doc_id, r.other_doc_id)}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in rows:
+        p, q = sorted((find(r.doc_id), find(r.other_doc_id)))
+        parent[q] = p
+    return {i: find(i) for i in parent}
