@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,7 @@ BUCKETS = 1 << 15
 ROUNDS = 2
 STEP = 0.5
 CHUNK = 1 << 14
+LONG = 32  # rows that one matrix product adds
 SMOOTH = 0.1
 END, OTHER, START = 0, 1, 2  # numbers before the frequent words, which begin at FIRST
 FIRST = 3
@@ -66,15 +67,43 @@ def features(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     before = [np.where(at - k >= starts, ids[np.maximum(at - k, 0)], START) for k in (1, 2, 3)]
     parts = [*before, before[0] * (FREQUENT + FIRST) + before[1]]
     mixed = [(p.astype(np.uint64) * np.uint64(len(parts)) + np.uint64(j)) * np.uint64(0x9E3779B97F4A7C15) for j, p in enumerate(parts)]
-    return np.stack([(m >> np.uint64(64 - BUCKETS.bit_length() + 1)).view(np.int64) for m in mixed], axis=1)
+    return np.stack([(m >> np.uint64(64 - BUCKETS.bit_length() + 1)).view(np.int64) for m in mixed]).T  # a column lies together
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, found: np.ndarray) -> np.ndarray:
-    scores = weights[found[:, 0]] + bias
+def _shifted_scores(weights: np.ndarray, bias: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores less a shift, their exponentials and the sums of those.
+
+    One shift serves all tokens, unless a token's scores lie so far below it that its sum loses digits.
+    """
+    scores = weights.take(found[:, 0], axis=0)
+    scores += bias
     for j in range(1, found.shape[1]):
-        scores += weights[found[:, j]]
-    scores -= scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+        scores += weights.take(found[:, j], axis=0)
+    for shift in (lambda: scores.max(initial=-np.inf), lambda: scores.max(axis=1, keepdims=True)):
+        scores -= shift()
+        powers = np.exp(scores)
+        sums = powers.sum(axis=1, keepdims=True)
+        if not len(sums) or sums.min() > 1e-20:
+            break
+    return scores, powers, sums
+
+
+def log_softmax(weights: np.ndarray, bias: np.ndarray, found: np.ndarray) -> np.ndarray:
+    scores, _, sums = _shifted_scores(weights, bias, found)
+    scores -= np.log(sums)
+    return scores
+
+
+def group_sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of ``rows`` over stretches of ``order``, each from its ``first`` place and ``n`` long."""
+    out = rows.take(order[first], axis=0)  # right for stretches of one
+    some = (n > 1) & (n < LONG)
+    if some.any():
+        own = n[some]
+        out[some] = np.add.reduceat(rows.take(order[np.repeat(some, n)], axis=0), np.cumsum(own) - own, axis=0)
+    for i in np.flatnonzero(n >= LONG):  # at most one in LONG of the rows
+        out[i] = np.ones(n[i], rows.dtype) @ rows.take(order[first[i] : first[i] + n[i]], axis=0)
+    return out
 
 
 class Trainer:
@@ -86,16 +115,19 @@ class Trainer:
         self.seen = np.zeros(len(weights), np.int64)
 
     def step(self, found: np.ndarray, classes: np.ndarray) -> None:
-        error = -np.exp(log_softmax(self.weights, self.bias, found))
+        _, error, sums = _shifted_scores(self.weights, self.bias, found)
+        error /= -sums
         error[np.arange(len(classes)), classes] += 1
         for j in range(found.shape[1]):
             order = np.argsort(found[:, j].astype(np.uint16), kind="stable")  # 16 bits: a radix sort
             rows = found[order, j]
             first = np.nonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))[0]
             own, n = rows[first], np.diff(np.append(first, len(rows)))
-            slope = np.add.reduceat(error[order], first, axis=0) / np.sqrt(n)[:, None].astype(np.float32)
-            self.squares[own] += (slope * slope).mean(axis=1)
-            self.weights[own] += STEP * slope / np.sqrt(self.squares[own])[:, None]
+            slope = group_sums(error, order, first, n)
+            slope /= np.sqrt(n)[:, None].astype(np.float32)
+            self.squares[own] += np.einsum("ij,ij->i", slope, slope) / np.float32(slope.shape[1])
+            slope *= STEP / np.sqrt(self.squares[own])[:, None]
+            self.weights[own] += slope
             self.seen[own] += n
 
 
@@ -213,21 +245,22 @@ def score_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, counts = Vocabulary(*shared.value), np.zeros(n_ids, np.int64)
         for frame in frames:
-            keys, marks, hashes, n, taught = [], [], [], [], []
-            for doc, mark, out, txt in zip(frame["doc_id"], frame["mark"], frame["held_out"], frame["text"], strict=True):
-                listed = lower_words(txt)
+            taught, taken = ~frame["held_out"].to_numpy(bool), []
+            hashes, n, others = [], [], np.zeros(len(frame), np.int64)
+            for i, text in enumerate(frame["text"]):
+                listed = lower_words(text)
                 ids = own.ids(listed)
-                if not out:
-                    found, times = np.unique(ids, return_counts=True)
-                    counts[found] += times
-                rare = Counter(compress(listed, ids[:-1] == OTHER))
+                if taught[i]:
+                    taken.append(ids)
+                rare = Counter([listed[at] for at in np.flatnonzero(ids == OTHER).tolist()])
                 hashes.extend(map(xxhash.xxh64_intdigest, rare))
                 n.extend(rare.values())
-                keys.extend([doc] * len(rare))
-                marks.extend([mark] * len(rare))
-                taught.extend([not out] * len(rare))
-            yield pd.DataFrame({"kind": 0, "word": np.array(hashes, np.uint64).view(np.int64), "n": n, "doc_id": pd.array(keys, "Int64"),
-                                "mark": marks, "taught": taught})
+                others[i] = len(rare)
+            if taken:
+                counts += np.bincount(np.concatenate(taken), minlength=n_ids)
+            yield pd.DataFrame({"kind": 0, "word": np.array(hashes, np.uint64).view(np.int64), "n": n,
+                                "doc_id": frame["doc_id"].astype("Int64").repeat(others).array,
+                                "mark": frame["mark"].to_numpy().repeat(others), "taught": taught.repeat(others)})
         at = np.nonzero(counts)[0]
         yield pd.DataFrame({"kind": 1, "word": at, "n": counts[at], "doc_id": pd.array([None] * len(at), "Int64"), "mark": 0, "taught": True})
 

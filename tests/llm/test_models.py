@@ -212,3 +212,21 @@ def test_words_and_classes_come_from_all_training_documents(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"word{i} of text number{i} and word{i}") for i in range(300)], "doc_id bigint, text string").repartition(4)
     known = lm_scoring.learn_vocabulary(docs).number
     assert set(known) == {w.encode() for i in range(300) for w in (f"word{i}", f"number{i}", "of", "text", "and")}
+
+
+def test_sums_of_groups_and_one_shift_for_all_tokens():
+    from stratascore.llm.lm_scoring import LONG, group_sums
+
+    rng = np.random.RandomState(3)
+    sizes = np.array([1, 2, LONG - 1, LONG, 3 * LONG, 1, 1, 7])  # alone, few, many
+    order = rng.permutation(sizes.sum())
+    rows = rng.randint(-50, 50, (sizes.sum(), CLASSES)).astype(np.float32)
+    first = np.cumsum(sizes) - sizes
+    wanted = np.stack([rows[order[a : a + n]].sum(axis=0) for a, n in zip(first, sizes)])
+    assert np.array_equal(group_sums(rows, order, first, sizes), wanted)
+    weights = np.zeros((3, CLASSES), np.float32)
+    weights[1], weights[2, 0] = -400, 60  # a token far below the others keeps its digits
+    logs = log_softmax(weights, np.zeros(CLASSES, np.float32), np.array([[0], [1], [2]]))
+    assert logs[:2] == pytest.approx(np.full((2, CLASSES), -np.log(CLASSES)), abs=1e-4)
+    assert logs[2, 0] == pytest.approx(0, abs=1e-4)
+    assert not len(log_softmax(weights, np.zeros(CLASSES, np.float32), np.zeros((0, 1), np.int64)))
