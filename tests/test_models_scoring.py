@@ -241,3 +241,11 @@ def test_dimension_experiment_where_the_variance_filter_keeps_nothing(spark, tmp
     spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     got = {r["method"]: (r["n_pos"], r["sound"]) for r in dimension_experiment(spark, str(tmp_path)).collect()}
     assert got == {m: (80, True) for m in ("none", "variance", "pca_15", "pca_4", "pca_1")}
+
+
+@pytest.mark.parametrize("name", ["c0", "c1", "c2", "c3", "c4", "c5"])
+def test_catalogue_runs_the_published_learners(name):
+    from stratascore.plans.queries_models import recipe_of
+
+    got, want = recipe_of(name), recipes()[name]
+    assert got.stack == want.stack and got.sweep == want.sweep and got.outer_folds == want.outer_folds
