@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
+    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -23,6 +23,7 @@ from stratascore.operators import neighbors
 from stratascore.operators.boosting import BoostedVote, fit_boosting
 from stratascore.operators.forest import ForestVote, fit_forest
 from stratascore.operators.split import assign_folds
+from stratascore.operators.svc import SvcVote, fit_svc
 from stratascore.operators.transform import ColumnDropper, Standardizer, _Stage
 from stratascore.session import drop_path, laid_out, scratch_path
 
@@ -75,23 +76,6 @@ class PositiveProbability(_Stage, Transformer):
         return df.withColumn(self.get("target"), vector_to_array(F.col(self.get("source")))[1])
 
 
-class PlattScale(_Stage, Transformer):
-    """P(1) from a margin by a fitted sigmoid (Platt 1999)."""
-
-    source = Param(Params._dummy(), "source", "raw prediction vector", TypeConverters.toString)
-    target = Param(Params._dummy(), "target", "new column", TypeConverters.toString)
-    slope = Param(Params._dummy(), "slope", "sigmoid slope", TypeConverters.toFloat)
-    offset = Param(Params._dummy(), "offset", "sigmoid offset", TypeConverters.toFloat)
-
-    def __init__(self, source=None, target=None, slope=None, offset=None):
-        super().__init__(source=source, target=target, slope=slope, offset=offset)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        margin = vector_to_array(F.col(self.get("source")))[1]
-        p = 1 / (1 + F.exp(-(margin * self.get("slope") + self.get("offset"))))
-        return df.withColumn(self.get("target"), p)
-
-
 class RandomFourier(_Stage, Transformer):
     """Random Fourier features of the Gaussian kernel (Rahimi and Recht 2007), one matrix product per batch."""
 
@@ -204,27 +188,15 @@ def fit_logistic(lr: LogisticRegression, rows: DataFrame):
     return model
 
 
-def _svc_stages(train: DataFrame, name: str, source: str, label: str, weight: str | None, c: float, n: int,
-                key: str, max_iter: int, folds: int) -> list:
-    """Linear SVC, then a sigmoid fitted on margins of rows the SVC did not see."""
-    def svc():
-        model = LinearSVC(
-            featuresCol=source, labelCol=label, regParam=1.0 / (c * n), maxIter=max_iter, tol=1e-3, standardization=False,
-            rawPredictionCol=f"_raw_{name}", predictionCol=f"_pred_{name}")
-        return model.setWeightCol(weight) if weight else model
-
+def _svc_stages(train: DataFrame, name: str, source: str, width: int, label: str, weight: str | None, c: float, n: int,
+                key: str, folds: int) -> list:
+    """Linear SVC with a sigmoid fitted on margins of rows the SVC did not see."""
     split = assign_folds(train, folds, key, 11, label, "_platt").persist()
     try:
-        held = [svc().fit(split.filter(F.col("_platt") != i)).transform(split.filter(F.col("_platt") == i))
-                for i in range(folds)]
-        margins = reduce(DataFrame.unionByName, held)
-        margins = margins.select(label, vector_to_array(F.col(f"_raw_{name}"))[1].alias("_margin"))
-        assembled = VectorAssembler(inputCols=["_margin"], outputCol="_m").transform(margins)
-        platt = LogisticRegression(featuresCol="_m", labelCol=label, regParam=1e-6, standardization=False).fit(assembled)
-        model = svc().fit(split)
+        found = fit_svc(split, source, n, width, folds, c, label, weight, "_platt")
     finally:
         split.unpersist()
-    return [model, PlattScale(f"_raw_{name}", f"p_{name}", float(platt.coefficients[0]), float(platt.intercept))]
+    return [SvcVote(source, f"p_{name}", *found)]
 
 
 def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str = "id", label: str = "label",
@@ -253,10 +225,10 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
     elif learner.kind == "rbf_svc":
         spread = train.select(F.explode(vector_to_array(F.col(FEATURES))).alias("v")).agg(F.var_pop("v")).head()[0]
         gamma = 1.0 / (width * (spread or 1.0))
-        lift = RandomFourier(FEATURES, f"_z_{name}", p.get("size", 128), gamma, width, seed)
+        size = p.get("size", 128)
+        lift = RandomFourier(FEATURES, f"_z_{name}", size, gamma, width, seed)
         lifted = lift.transform(train).select(key, label, *([weight] if w else []), f"_z_{name}")
-        stages = _svc_stages(lifted, name, f"_z_{name}", label, w, p.get("c", 1.0), n, key,
-                             p.get("max_iter", 100), p.get("platt_folds", 3))
+        stages = _svc_stages(lifted, name, f"_z_{name}", size, label, w, p.get("c", 1.0), n, key, p.get("platt_folds", 3))
         return [lift, *stages, _clean(name, f"_z_{name}")]
     elif learner.kind == "poly_svc":
         expand = PolynomialExpansion(degree=2, inputCol=FEATURES, outputCol=f"_poly_{name}")
@@ -264,8 +236,7 @@ def fit_learner(learner: Learner, train: DataFrame, width: int, n: int, key: str
         pure = VectorSlicer(inputCol=f"_poly_{name}", outputCol=f"_z_{name}",
                             indices=[i for i in range(width * (width + 3) // 2) if i not in linear])
         lifted = pure.transform(expand.transform(train))
-        stages = _svc_stages(lifted, name, f"_z_{name}", label, w, p.get("c", 1.0), n, key,
-                             p.get("max_iter", 100), p.get("platt_folds", 3))
+        stages = _svc_stages(lifted, name, f"_z_{name}", width * (width + 1) // 2, label, w, p.get("c", 1.0), n, key, p.get("platt_folds", 3))
         return [expand, pure, *stages, _clean(name, f"_poly_{name}", f"_z_{name}")]
     elif learner.kind == "knn":
         path = scratch_path(train.sparkSession, "knn-train")
