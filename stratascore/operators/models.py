@@ -64,7 +64,7 @@ def majority(votes: list[Column], at_least: int) -> Column:
 
 
 class PositiveProbability(_Stage, Transformer):
-    """P(1) out of a probability vector, as a plain number."""
+    """P(1) out of a probability vector, as a plain number; 0 from a model that saw no row of class 1."""
 
     source = Param(Params._dummy(), "source", "probability vector", TypeConverters.toString)
     target = Param(Params._dummy(), "target", "new column", TypeConverters.toString)
@@ -73,7 +73,8 @@ class PositiveProbability(_Stage, Transformer):
         super().__init__(source=source, target=target)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.get("target"), vector_to_array(F.col(self.get("source")))[1])
+        p = vector_to_array(F.col(self.get("source")))
+        return df.withColumn(self.get("target"), F.when(F.size(p) == 1, F.lit(0.0)).otherwise(F.get(p, F.lit(1))))
 
 
 class RandomFourier(_Stage, Transformer):

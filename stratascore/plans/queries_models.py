@@ -575,8 +575,8 @@ def model_roundtrip(spark, folder):
 
 # ---- scoring -------------------------------------------------------------------------------------
 
-# a different recipe per segment and the constant, as a set of segment models is used
-DISPATCH = {0: "c6", 1: "c4", 2: "light", 3: "c7"}
+# every segment has its model; the recipes change from one to the next, and the constant is one of them
+DISPATCH = {0: "c6", 1: "c4", 2: "light", 3: "c7", 4: "c6", 5: "light", 6: "c6", 7: "light"}
 
 
 def segment_scorer(spark, folder):
@@ -590,15 +590,14 @@ def segment_scorer(spark, folder):
 
 @query("segment_score", f"WITH {CUSTOMER} SELECT id, true AS sound FROM cust")
 def segment_score(spark, folder):
-    """Segment the customers, train a different recipe per segment, route and score them all.
+    """Segment the customers, train the recipe of each segment, route and score them all.
 
-    A row of a segment with a model has a sound score; one of a segment without keeps its place with nulls.
+    Every row has a sound score of its own segment's model; a segment without one would show.
     """
     scorer, rows = segment_scorer(spark, folder)
     out = scorer.transform(rows)
     fits = reduce(lambda a, b: a | b, [(F.col("cluster") == n) & C.sound(threshold=m.threshold) for n, m in scorer.models.items()])
-    other = ~F.col("cluster").isin(list(scorer.models)) & F.col("probability").isNull() & F.col("prediction").isNull()
-    return out.select("id", F.coalesce(fits | other, F.lit(False)).alias("sound"))
+    return out.select("id", F.coalesce(fits, F.lit(False)).alias("sound"))
 
 
 @query("single_segment_score", "SELECT true AS only_its_rows, true AS sound FROM (SELECT count(*) FROM customer)")

@@ -249,3 +249,31 @@ def test_catalogue_runs_the_published_learners(name):
 
     got, want = recipe_of(name), recipes()[name]
     assert got.stack == want.stack and got.sweep == want.sweep and got.outer_folds == want.outer_folds
+
+
+def test_every_segment_of_the_customers_is_trained(spark, folder, monkeypatch):
+    from stratascore.plans import queries_models as Q
+
+    seen = {}
+
+    def segments(spark, folder):
+        rows = Q.customers(spark, folder).drop("grp").withColumn("cluster", (F.col("id") % 8).cast("int"))
+        return flows.Segmentation(None, None, None, [], {}), rows
+
+    def train(raw, features, chosen, threads):
+        seen.update(chosen)
+        return {r[0]: None for r in raw.select("cluster").distinct().collect() if r[0] in chosen}
+
+    monkeypatch.setattr(Q, "customer_segmentation", segments)
+    monkeypatch.setattr(Q.flows, "train_segments", train)
+    scorer, rows = Q.segment_scorer(spark, folder)
+    assert sorted(scorer.models) == sorted(seen) == list(range(8)) and rows.count() == 150
+    assert all(r.constant is not None or r.stack == (Q.LIGHT if r.name == "light" else recipes()[r.name].stack) for r in seen.values())
+
+
+def test_a_segment_with_one_positive_is_trained(wide):
+    """One of the folds' training parts has no positive at all."""
+    few = wide.filter("label = 0").limit(30).unionByName(wide.filter("label = 1").limit(1))
+    recipe = Recipe("r", S.StackSpec((replace(LR, balanced=False), STUMP, ONE_NN), folds=2))
+    out = fit_recipe(recipe, few, NAMES).score(few)
+    assert out.filter("probability between 0 and 1").count() == 31
